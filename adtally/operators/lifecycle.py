@@ -91,7 +91,8 @@ def correction_ledger(
     An impression that precedes its bid counts as UNKNOWN at its own ``seq``. The
     bid then takes that back and counts the match at the bid's ``seq``, in the
     *impression's* minute. ``new_bid`` / ``new_impression`` restrict the output to
-    changes of the current micro-batch; in batch everything is new.
+    changes of the current micro-batch; in batch everything is new. When the structs
+    carry ``arrival_ts``, ``known_ts`` says when the change became known.
 
     ``remember`` limits how long, in arrival time, a bid's campaign and an
     impression's UNKNOWN mark are kept for the other side (needs ``arrival_ts`` in
@@ -101,7 +102,9 @@ def correction_ledger(
     new_bid = bid.isNotNull() if new_bid is None else bid.isNotNull() & new_bid
     new_impression = imp.isNotNull() if new_impression is None else imp.isNotNull() & new_impression
 
-    order = [f for f in ("batch_ts", "seq") if f in lives.schema["bid"].dataType.names]
+    carried = lives.schema["bid"].dataType.names
+    has_arrival = "arrival_ts" in carried
+    order = [f for f in ("batch_ts", "seq") if f in carried]
     bid_order, imp_order = F.struct(*[bid[f] for f in order]), F.struct(*[imp[f] for f in order])
     both = bid.isNotNull() & imp.isNotNull()
     # On a tie the bid topic comes first.
@@ -116,20 +119,22 @@ def correction_ledger(
     matched_at_once = F.coalesce(bid_known, F.lit(False))
     corrected = new_bid & F.coalesce(mark_known, F.lit(False))
     campaign = bid["campaign_id"]
+
+    def at(change: Column) -> dict[str, Column]:
+        known = {"known_ts": change["arrival_ts"]} if has_arrival else {}
+        return {"seq": change["seq"], **known}
+
     return _emit(
         lives,
         [
-            F.when(new_bid, _row(campaign, bid["event_ts"], 1, 0, 0, seq=bid["seq"])),
-            F.when(
-                new_impression & matched_at_once,
-                _row(campaign, imp["event_ts"], 0, 1, 0, seq=imp["seq"]),
-            ),
+            F.when(new_bid, _row(campaign, bid["event_ts"], 1, 0, 0, **at(bid))),
+            F.when(new_impression & matched_at_once, _row(campaign, imp["event_ts"], 0, 1, 0, **at(imp))),
             F.when(
                 new_impression & ~matched_at_once,
-                _row(F.lit(UNKNOWN), imp["event_ts"], 0, 0, 1, seq=imp["seq"]),
+                _row(F.lit(UNKNOWN), imp["event_ts"], 0, 0, 1, **at(imp)),
             ),
-            F.when(corrected, _row(F.lit(UNKNOWN), imp["event_ts"], 0, 0, -1, seq=bid["seq"])),
-            F.when(corrected, _row(campaign, imp["event_ts"], 0, 1, 0, seq=bid["seq"])),
+            F.when(corrected, _row(F.lit(UNKNOWN), imp["event_ts"], 0, 0, -1, **at(bid))),
+            F.when(corrected, _row(campaign, imp["event_ts"], 0, 1, 0, **at(bid))),
         ],
         list(keep),
     )

@@ -10,6 +10,7 @@ Layout below ``root``: ``<table>/batch_id=N`` and ``compacted/upto=N``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adtally.plans.metrics import any_count, sums
 from adtally.schemas import COUNTERS
@@ -19,15 +20,24 @@ MINUTES = "minutes"
 BID_FACTS = "bids"
 IMPRESSION_FACTS = "impressions"
 CHANGE_LOG = "change_log"
-QUARANTINE = "quarantine"
 PROGRESS = "progress"
 COMPACTED = "compacted"
 
 _COUNTER_DDL = ", ".join(f"{name} BIGINT" for name in COUNTERS)
+_FACT_TAIL = "raw_json STRING, ingested_at TIMESTAMP, seq BIGINT, event_date DATE"
 SCHEMAS = {
-    LEDGER: f"bid_id STRING, seq BIGINT, campaign_id STRING, event_ts TIMESTAMP, {_COUNTER_DDL}",
+    LEDGER: (
+        "bid_id STRING, seq BIGINT, known_ts TIMESTAMP, campaign_id STRING, event_ts TIMESTAMP, "
+        + _COUNTER_DDL
+    ),
     MINUTES: f"campaign_id STRING, minute_ts TIMESTAMP, {_COUNTER_DDL}",
     COMPACTED: f"campaign_id STRING, minute_ts TIMESTAMP, {_COUNTER_DDL}",
+    BID_FACTS: (
+        "bid_id STRING, request_id STRING, campaign_id STRING, user_idfv STRING, placement_id STRING, "
+        f"event_ts TIMESTAMP, {_FACT_TAIL}"
+    ),
+    IMPRESSION_FACTS: f"bid_id STRING, event_ts TIMESTAMP, {_FACT_TAIL}",
+    CHANGE_LOG: "seq BIGINT, event_type STRING, entity_id STRING, event_ts TIMESTAMP, payload STRING",
     PROGRESS: "projected_at TIMESTAMP, last_seq BIGINT, changes BIGINT",
 }
 
@@ -53,20 +63,19 @@ class BatchStore:
         return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
     def batches(self, table: str) -> list[int]:
-        return self._committed(table, "batch_id")
+        """Batches of a table that are complete in every table."""
+        complete = set(self._committed(PROGRESS, "batch_id"))
+        return [n for n in self._committed(table, "batch_id") if n in complete]
 
-    def _empty(self, table: str) -> DataFrame:
-        if table not in SCHEMAS:
-            raise FileNotFoundError(f"no committed batch of {table} in {self.root}")
-        return self.spark.createDataFrame([], SCHEMAS[table])
+    def _load(self, table: str, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], SCHEMAS[table])
+        return self.spark.read.schema(SCHEMAS[table]).parquet(*paths)
 
     def read(self, table: str, after: int = -1) -> DataFrame:
-        """All committed batches later than ``after``."""
+        """All complete batches later than ``after``."""
         numbers = [n for n in self.batches(table) if n > after]
-        if not numbers:
-            return self._empty(table)
-        paths = [f"{self.root}/{table}/batch_id={n}" for n in numbers]
-        return self.spark.read.parquet(*paths)
+        return self._load(table, [f"{self.root}/{table}/batch_id={n}" for n in numbers])
 
     def compacted_upto(self) -> int:
         return max(self._committed(COMPACTED, "upto"), default=-1)
@@ -76,7 +85,7 @@ class BatchStore:
         upto = self.compacted_upto()
         rows = self.read(MINUTES, after=upto)
         if upto >= 0:
-            rows = rows.unionByName(self.spark.read.parquet(f"{self.root}/{COMPACTED}/upto={upto}"))
+            rows = rows.unionByName(self._load(COMPACTED, [f"{self.root}/{COMPACTED}/upto={upto}"]))
         return rows.groupBy("campaign_id", "minute_ts").agg(*sums()).where(any_count())
 
     def compact(self) -> int:
@@ -95,6 +104,4 @@ class BatchStore:
 
     def freshness(self) -> DataFrame:
         """When the last projected batch was written."""
-        from pyspark.sql import functions as F
-
         return self.read(PROGRESS).agg(F.max("projected_at").alias("last_projected_at"))
