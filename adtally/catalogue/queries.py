@@ -98,17 +98,17 @@ def _ledger(events: DataFrame) -> DataFrame:
 
 
 def _bids(events: DataFrame) -> DataFrame:
-    rows = tables.changes(events).where(F.col("kind") == BID)
+    rows = tables.changes(events, BID)
     return dedup.first_write(rows.select("seq", "bid_id", "campaign_id", "event_ts"))
 
 
 def _impressions(events: DataFrame) -> DataFrame:
-    rows = tables.changes(events).where(F.col("kind") == IMPRESSION)
+    rows = tables.changes(events, IMPRESSION)
     return dedup.first_write(rows.select("seq", "bid_id", "event_ts"))
 
 
-def _decoded(events: DataFrame) -> DataFrame:
-    return decode.decode(tables.records(events, broken=True))
+def _decoded(events: DataFrame, kind: str | None = None) -> DataFrame:
+    return decode.decode(tables.records(events, broken=True, kind=kind))
 
 
 def _serving(events: DataFrame, overlap: bool = False, cutoff: datetime = CUTOFF) -> Serving:
@@ -132,22 +132,21 @@ def src_events(spark, events):
 
 @query
 def encode_events(spark, events):
-    rows = tables.changes(events).withColumn("timestamp", F.unix_seconds("event_ts"))
-    impressions = rows.where(F.col("kind") == IMPRESSION)
+    epoch = {"timestamp": F.unix_seconds("event_ts")}
     empty = {"campaign_id": F.lit(""), "user_idfv": F.lit("")}
-    return topics.encode_bids(rows.where(F.col("kind") == BID)).unionByName(
-        topics.encode_impressions(impressions.withColumns(empty))
-    )
+    bids = tables.changes(events, BID).withColumns(epoch)
+    impressions = tables.changes(events, IMPRESSION).withColumns({**epoch, **empty})
+    return topics.encode_bids(bids).unionByName(topics.encode_impressions(impressions))
 
 
 @query
 def facts_bids(spark, events):
-    return dedup.bid_facts(decode.changes(_decoded(events)).where(F.col("kind") == BID))
+    return dedup.bid_facts(decode.changes(_decoded(events, BID)))
 
 
 @query
 def facts_impressions(spark, events):
-    return dedup.impression_facts(decode.changes(_decoded(events)).where(F.col("kind") == IMPRESSION))
+    return dedup.impression_facts(decode.changes(_decoded(events, IMPRESSION)))
 
 
 @query
@@ -170,14 +169,14 @@ def topic_sample(spark, events):
 
 @query
 def decode_bids(spark, events):
-    return decode.bids(_decoded(events)).select(
+    return decode.bids(_decoded(events, BID)).select(
         "seq", "request_id", "bid_id", "user_idfv", "campaign_id", "placement_id", "event_ts"
     )
 
 
 @query
 def decode_impressions(spark, events):
-    return decode.impressions(_decoded(events)).select("seq", "bid_id", "event_ts")
+    return decode.impressions(_decoded(events, IMPRESSION)).select("seq", "bid_id", "event_ts")
 
 
 @query
@@ -233,7 +232,7 @@ def dedup_impressions(spark, events):
 
 @query
 def billing_suppression_24h(spark, events):
-    rows = tables.changes(events).where(F.col("kind") == IMPRESSION)
+    rows = tables.changes(events, IMPRESSION)
     return suppress_repeats(rows, ts="arrival_ts")
 
 
@@ -603,5 +602,5 @@ def _append_to_end(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame
 
 @table_query
 def stream_billing_suppression(spark, sf_dir):
-    rows = tables.changes(_event_stream(_streaming(spark), sf_dir)).where(F.col("kind") == IMPRESSION)
+    rows = tables.changes(_event_stream(_streaming(spark), sf_dir), IMPRESSION)
     return _append_to_end(spark, suppress_stream(rows), "billing")

@@ -37,21 +37,31 @@ def field_value(parsed: Column, field: T.StructField, only: bool = True) -> Colu
     return F.coalesce(F.try_variant_get(parsed, _at(field.name, only), "string"), F.lit(""))
 
 
-def has_wrong_type(parsed: Column, schema: T.StructType, only: bool = True) -> Column:
+def has_wrong_type(parsed: Column, fields: list[T.StructField], only: bool = True) -> Column:
     """True when any field is present, not null, and of another JSON type."""
     wrong = F.lit(False)
-    for field in schema:
+    for field in fields:
         found = F.schema_of_variant(F.try_variant_get(parsed, _at(field.name, only), "variant"))
         wrong = wrong | ~F.coalesce(found, F.lit("VOID")).isin("VOID", _WANTED[field.dataType])
     return wrong
 
 
-def is_invalid(text: Column, parsed: Column, schema: T.StructType, only: bool = True) -> Column:
-    """Not one JSON object (or null) with the schema's field types."""
+def is_no_object(text: Column, parsed: Column, only: bool = True) -> Column:
+    """True unless the text is one JSON object, or null (which reads as an empty one)."""
     body = F.btrim(text, F.lit(_SPACE))
     null = body == "null" if only else F.startswith(body, F.lit("null"))
-    not_object = ~(F.startswith(body, F.lit("{")) | null)
-    invalid = parsed.isNull() | not_object | has_wrong_type(parsed, schema, only)
+    bad = parsed.isNull() | ~(F.startswith(body, F.lit("{")) | null)
     if only:
-        invalid = invalid | F.try_variant_get(parsed, "$[1]", "variant").isNotNull()
-    return F.coalesce(invalid, F.lit(True))
+        bad = bad | F.try_variant_get(parsed, "$[1]", "variant").isNotNull()
+    return F.coalesce(bad, F.lit(True))
+
+
+def unpack(rows, parsed: Column, **columns: Column):
+    """Add columns read off a parsed document, computed once per row.
+
+    The row passes through a one-element ``inline``: later filters on the new
+    columns then stay above it, rather than being rewritten into repeated parses.
+    """
+    keep = [name for name in rows.columns if name != "_parsed"]
+    values = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return rows.withColumn("_parsed", parsed).select(*keep, F.inline(F.array(values)))

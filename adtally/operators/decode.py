@@ -36,23 +36,27 @@ def decode(records: DataFrame) -> DataFrame:
     Adds ``kind``, the event's fields, ``event_ts`` and ``reason``; ``reason`` is
     NULL for an accepted record. Works on static and streaming input alike.
     """
-    parsed = F.col("_parsed")
-    is_bid = F.col("kind") == BID
-    invalid = F.when(is_bid, J.is_invalid(F.col("value"), parsed, BID_EVENT)).otherwise(
-        J.is_invalid(F.col("value"), parsed, IMPRESSION_EVENT)
+    parsed, value = F.col("_parsed"), F.col("value")
+    shared = [field for field in BID_EVENT if field.name in IMPRESSION_EVENT.names]
+    bid_only = [field for field in BID_EVENT if field.name not in IMPRESSION_EVENT.names]
+    rows = J.unpack(
+        records.withColumn("kind", _kind(F.col("topic"))),
+        J.parse_only_document(value),
+        **{field.name: J.field_value(parsed, field) for field in BID_EVENT},
+        _no_object=J.is_no_object(value, parsed),
+        _wrong=J.has_wrong_type(parsed, shared),
+        _wrong_bid=J.has_wrong_type(parsed, bid_only),
     )
+    is_bid = F.col("kind") == BID
+    invalid = F.col("_no_object") | F.col("_wrong") | (is_bid & F.col("_wrong_bid"))
     missing = (F.col("bid_id") == "") | (is_bid & (F.col("campaign_id") == ""))
-    fields = [J.field_value(parsed, field).alias(field.name) for field in BID_EVENT]
     return (
-        records.withColumn("_parsed", J.parse_only_document(F.col("value")))
-        .withColumn("kind", _kind(F.col("topic")))
-        .select("*", *fields, invalid.alias("_invalid"))
-        .withColumn(
+        rows.withColumn(
             "reason",
-            F.when(F.col("_invalid"), F.lit(INVALID_JSON)).when(missing, F.lit(MISSING_REQUIRED)),
+            F.when(invalid, F.lit(INVALID_JSON)).when(missing, F.lit(MISSING_REQUIRED)),
         )
         .withColumn("event_ts", event_time(F.col("timestamp"), F.col("arrival_ts")))
-        .drop("_parsed", "_invalid")
+        .drop("_no_object", "_wrong", "_wrong_bid")
     )
 
 

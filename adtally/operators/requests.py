@@ -79,20 +79,23 @@ def classify_billing(billing: DataFrame, hot_rows: int | None = None) -> DataFra
     Outcomes: ``malformed``, ``missing_id``, ``duplicate`` (within 24 h of an
     accepted request for that bid) and ``accepted``.
     """
-    parsed = F.col("_parsed")
+    parsed, value = F.col("_parsed"), F.col("value")
+    fields = list(BILLING_REQUEST)
     decoded = (
-        billing.withColumn("_parsed", J.parse_first_document(F.col("value")))
-        .select(
-            "seq",
-            "arrival_ts",
-            J.field_value(parsed, BILLING_REQUEST["bid_id"], only=False).alias("bid_id"),
-            J.is_invalid(F.col("value"), parsed, BILLING_REQUEST, only=False).alias("_invalid"),
+        J.unpack(
+            billing.select("seq", "arrival_ts", "value"),
+            J.parse_first_document(value),
+            bid_id=J.field_value(parsed, BILLING_REQUEST["bid_id"], only=False),
+            _no_object=J.is_no_object(value, parsed, only=False),
+            _wrong=J.has_wrong_type(parsed, fields, only=False),
         )
         .withColumn(
             "outcome",
-            F.when(F.col("_invalid"), F.lit("malformed")).when(F.col("bid_id") == "", F.lit("missing_id")),
+            F.when(F.col("_no_object") | F.col("_wrong"), F.lit("malformed")).when(
+                F.col("bid_id") == "", F.lit("missing_id")
+            ),
         )
-        .drop("_invalid")
+        .drop("value", "_no_object", "_wrong")
     )
     rejected = decoded.where(F.col("outcome").isNotNull()).select("seq", "bid_id", "arrival_ts", "outcome")
     options = {} if hot_rows is None else {"hot_rows": hot_rows}

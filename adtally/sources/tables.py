@@ -51,63 +51,65 @@ def _bid_id() -> Column:
     return F.concat_ws("-", F.col("user_id").cast("string"), _bucket_number())
 
 
-def traffic(rows: DataFrame) -> DataFrame:
-    """Events as ad traffic: views, signups and purchases ask for a bid, the rest bill one."""
-    kind = F.when(F.col("event_type").isin("view", "signup", "purchase"), F.lit(BID)).when(
-        F.col("event_type").isin("click", "error"), F.lit(IMPRESSION)
-    )
-    return rows.select(
+# Which events ask for a bid, and which bill one.
+ASKS = ["view", "signup", "purchase"]
+BILLS = ["click", "error"]
+
+
+def _place() -> list[Column]:
+    """Where a record lies in its log, and when it came."""
+    return [
         F.col("event_id").alias("seq"),
-        kind.alias("kind"),
-        _bid_id().alias("bid_id"),
-        _user_idfv().alias("user_idfv"),
         (F.col("user_id") % 3).cast("int").alias("partition"),
-        F.concat(F.lit("p"), (F.col("user_id") % 4).cast("string")).alias("placement_id"),
-        F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("request_id"),
-        F.col("ts").cast("timestamp").alias("event_ts"),
-    ).where(F.col("kind").isNotNull())
+        F.col("ts").cast("timestamp").alias("arrival_ts"),
+    ]
+
+
+def _placement() -> Column:
+    return F.concat(F.lit("p"), (F.col("user_id") % 4).cast("string"))
 
 
 def requests(rows: DataFrame) -> DataFrame:
     """Bid requests, no-fill ones included, with their place in the log."""
-    return (
-        traffic(rows)
-        .where(F.col("kind") == BID)
-        .select(
-            F.lit("requests").alias("topic"),
-            "partition",
-            F.col("seq").alias("offset"),
-            "seq",
-            "user_idfv",
-            "placement_id",
-            F.col("event_ts").alias("arrival_ts"),
-        )
+    return rows.where(F.col("event_type").isin(ASKS)).select(
+        F.lit("requests").alias("topic"),
+        *_place(),
+        F.col("event_id").alias("offset"),
+        _user_idfv().alias("user_idfv"),
+        _placement().alias("placement_id"),
     )
 
 
-def changes(rows: DataFrame) -> DataFrame:
-    """Valid topic records in arrival order: what the per-bid fold reads."""
-    is_bid = F.col("kind") == BID
-    return (
-        traffic(rows)
-        .withColumn("campaign_id", F.when(is_bid, campaign_for(F.col("user_idfv"))))
-        .where(~is_bid | F.col("campaign_id").isNotNull())
-        .select(
-            "seq",
-            "kind",
-            "bid_id",
-            "campaign_id",
-            "event_ts",
-            F.col("event_ts").alias("arrival_ts"),
-            "request_id",
-            "user_idfv",
-            "placement_id",
-            "partition",
-        )
+def changes(rows: DataFrame, kind: str | None = None) -> DataFrame:
+    """Valid topic records in arrival order: what the per-bid fold reads.
+
+    ``kind`` keeps one topic. All filters are on stored columns, so they reach the scan.
+    """
+    filled = F.col("user_id") % 10 != 7
+    if kind == BID:
+        rows = rows.where(F.col("event_type").isin(ASKS) & filled)
+        label = F.lit(BID)
+    elif kind == IMPRESSION:
+        rows = rows.where(F.col("event_type").isin(BILLS))
+        label = F.lit(IMPRESSION)
+    else:
+        is_bill = F.col("event_type").isin(BILLS)
+        rows = rows.where(F.col("event_type").isin(ASKS + BILLS) & (is_bill | filled))
+        label = F.when(is_bill, F.lit(IMPRESSION)).otherwise(F.lit(BID))
+    user = _user_idfv()
+    return rows.select(
+        *_place(),
+        label.alias("kind"),
+        _bid_id().alias("bid_id"),
+        F.when(label == BID, campaign_for(user)).alias("campaign_id"),
+        F.col("ts").cast("timestamp").alias("event_ts"),
+        F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("request_id"),
+        user.alias("user_idfv"),
+        _placement().alias("placement_id"),
     )
 
 
-def records(rows: DataFrame, broken: bool = False) -> DataFrame:
+def records(rows: DataFrame, broken: bool = False, kind: str | None = None) -> DataFrame:
     """The two topics as JSON records. ``broken`` damages some of the values."""
     is_bid = F.col("kind") == BID
     epoch = F.unix_seconds("event_ts").alias("timestamp")
@@ -124,7 +126,7 @@ def records(rows: DataFrame, broken: bool = False) -> DataFrame:
             .when(F.col("seq") % 89 == 0, F.to_json(F.struct(epoch)))
             .otherwise(value)
         )
-    return changes(rows).select(
+    return changes(rows, kind).select(
         F.when(is_bid, F.lit(BID_TOPIC)).otherwise(F.lit(IMPRESSION_TOPIC)).alias("topic"),
         "partition",
         F.col("seq").alias("offset"),
@@ -137,11 +139,7 @@ def records(rows: DataFrame, broken: bool = False) -> DataFrame:
 
 def billing_requests(rows: DataFrame) -> DataFrame:
     """Billing bodies of the impression side, some of them damaged."""
-    return (
-        records(rows, broken=True)
-        .where(F.col("topic") == IMPRESSION_TOPIC)
-        .select("seq", "value", "arrival_ts")
-    )
+    return records(rows, broken=True, kind=IMPRESSION).select("seq", "value", "arrival_ts")
 
 
 def topic_offsets(rows: DataFrame) -> DataFrame:
