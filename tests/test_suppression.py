@@ -1,0 +1,61 @@
+from datetime import timedelta
+
+import model
+import pytest
+from conftest import utc
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from adtally.operators.suppression import suppress_repeats
+
+SCHEMA = "bid_id STRING, seq BIGINT, event_ts TIMESTAMP"
+T0 = utc(2024, 1, 1, 7)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(k, s, T0 + timedelta(minutes=m)) for k, s, m in rows], SCHEMA)
+
+
+def accepted(df):
+    return {r.seq for r in df.where("accepted").collect()}
+
+
+def expected(rows):
+    out = set()
+    for key in {k for k, _, _ in rows}:
+        out |= model.greedy([(m, s) for k, s, m in rows if k == key], 24 * 60)
+    return out
+
+
+HOURS = [0, 10, 23, 24, 30, 47, 48, 49]
+
+
+@pytest.mark.parametrize("hot_rows", [4096, 3])
+def test_golden_hours(spark, hot_rows):
+    rows = [("a", n, h * 60) for n, h in enumerate(HOURS)] + [("b", 100, 5), ("b", 101, 6)]
+    df = suppress_repeats(frame(spark, rows), hot_rows=hot_rows)
+    assert df.count() == len(rows)
+    assert accepted(df) == {0, 3, 6, 100}
+
+
+def test_empty(spark):
+    assert suppress_repeats(frame(spark, [])).count() == 0
+
+
+@given(
+    st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 8 * 24 * 60)), max_size=60),
+    st.sampled_from([4096, 4, 0]),
+)
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+def test_both_paths_match_the_greedy_rule(spark, rows, hot_rows):
+    rows = [(key, seq, minute) for seq, (key, minute) in enumerate(rows)]
+    df = suppress_repeats(frame(spark, rows), hot_rows=hot_rows)
+    assert df.count() == len(rows)
+    assert accepted(df) == expected(rows)
+
+
+def test_a_key_with_most_rows(spark):
+    """A third of the rows on one key: the cell path, equal to the greedy rule."""
+    rows = [("hot" if n % 3 == 0 else f"k{n % 50}", n, (n * 37) % (6 * 24 * 60)) for n in range(3000)]
+    df = suppress_repeats(frame(spark, rows), hot_rows=200)
+    assert accepted(df) == expected(rows)
