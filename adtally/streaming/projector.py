@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -107,31 +106,33 @@ def new_change_log(lives: DataFrame) -> DataFrame:
 def project_batch(
     store: S.BatchStore, lives: DataFrame, batch_id: int, with_facts: bool, remember: timedelta | None
 ) -> None:
-    """Write one micro-batch. Each table's directory is replaced as a whole."""
-    # Stateful output must be computed once per batch, and several tables read it.
-    lives = lives.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ledger = batch_ledger(lives, remember)
-        store.write(S.LEDGER, batch_id, ledger)
-        store.write(S.MINUTES, batch_id, minute_campaign(ledger))
-        if with_facts:
-            for table, facts in (
-                (S.BID_FACTS, new_bid_facts(lives)),
-                (S.IMPRESSION_FACTS, new_impression_facts(lives)),
-            ):
-                facts.write.mode("overwrite").partitionBy("event_date").parquet(
-                    f"{store.root}/{table}/batch_id={batch_id}"
-                )
-            store.write(S.CHANGE_LOG, batch_id, new_change_log(lives))
-        # Written last: its presence says that the batch is complete.
-        progress = ledger.agg(F.max("seq").alias("last_seq"), F.count("*").alias("changes"))
-        store.write(
-            S.PROGRESS,
-            batch_id,
-            progress.select(F.current_timestamp().alias("projected_at"), "last_seq", "changes"),
-        )
-    finally:
-        lives.unpersist()
+    """Write one micro-batch. Each table's directory is replaced as a whole.
+
+    The stateful result is computed by exactly one write; whatever else is needed
+    reads that table back. A lost executor then costs a re-read, not the state.
+    """
+    if with_facts:
+        schema = lives.schema
+        store.write(S.TOUCHED, batch_id, lives)
+        lives = store.one(S.TOUCHED, batch_id, schema)
+        for table, facts in (
+            (S.BID_FACTS, new_bid_facts(lives)),
+            (S.IMPRESSION_FACTS, new_impression_facts(lives)),
+        ):
+            store.write(table, batch_id, facts, by="event_date")
+        store.write(S.CHANGE_LOG, batch_id, new_change_log(lives))
+    store.write(S.LEDGER, batch_id, batch_ledger(lives, remember))
+    ledger = store.one(S.LEDGER, batch_id)
+    store.write(S.MINUTES, batch_id, minute_campaign(ledger))
+    # Written last: its presence says that the batch is complete.
+    progress = ledger.agg(F.max("seq").alias("last_seq"), F.count("*").alias("changes"))
+    store.write(
+        S.PROGRESS,
+        batch_id,
+        progress.select(F.current_timestamp().alias("projected_at"), "last_seq", "changes"),
+    )
+    if with_facts:
+        store.discard(S.TOUCHED, batch_id)
 
 
 def start(

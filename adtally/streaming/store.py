@@ -22,6 +22,8 @@ IMPRESSION_FACTS = "impressions"
 CHANGE_LOG = "change_log"
 PROGRESS = "progress"
 COMPACTED = "compacted"
+#: A batch's folded ids, kept only while the batch is being written.
+TOUCHED = "touched"
 
 _COUNTER_DDL = ", ".join(f"{name} BIGINT" for name in COUNTERS)
 _FACT_TAIL = "raw_json STRING, ingested_at TIMESTAMP, seq BIGINT, event_date DATE"
@@ -49,19 +51,35 @@ class BatchStore:
 
     # ---- writing --------------------------------------------------------
 
-    def write(self, table: str, batch_id: int, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
+    def _path(self, table: str, batch_id: int) -> str:
+        return f"{self.root}/{table}/batch_id={batch_id}"
+
+    def write(self, table: str, batch_id: int, rows: DataFrame, by: str | None = None) -> None:
+        writer = rows.write.mode("overwrite")
+        if by:
+            writer = writer.partitionBy(by)
+        writer.parquet(self._path(table, batch_id))
+
+    def discard(self, table: str, batch_id: int) -> None:
+        path, files = self._files(self._path(table, batch_id))
+        files.delete(path, True)
 
     # ---- reading --------------------------------------------------------
 
+    def _files(self, location: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
+        return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
     def _committed(self, table: str, key: str) -> list[int]:
         """Numbers of the complete directories: those with a success marker."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/{key}=*/_SUCCESS")
-        files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        path, files = self._files(f"{self.root}/{table}/{key}=*/_SUCCESS")
         found = files.globStatus(path) or []
         return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
+    def one(self, table: str, batch_id: int, schema=None) -> DataFrame:
+        """One batch of a table, complete or not."""
+        return self.spark.read.schema(schema or SCHEMAS[table]).parquet(self._path(table, batch_id))
+
     def batches(self, table: str) -> list[int]:
         """Batches of a table that are complete in every table."""
         complete = set(self._committed(PROGRESS, "batch_id"))
@@ -70,12 +88,13 @@ class BatchStore:
     def _load(self, table: str, paths: list[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], SCHEMAS[table])
-        return self.spark.read.schema(SCHEMAS[table]).parquet(*paths)
+        reader = self.spark.read.schema(SCHEMAS[table]).option("basePath", f"{self.root}/{table}")
+        return reader.parquet(*paths).drop("batch_id", "upto")
 
     def read(self, table: str, after: int = -1) -> DataFrame:
         """All complete batches later than ``after``."""
         numbers = [n for n in self.batches(table) if n > after]
-        return self._load(table, [f"{self.root}/{table}/batch_id={n}" for n in numbers])
+        return self._load(table, [self._path(table, n) for n in numbers])
 
     def compacted_upto(self) -> int:
         return max(self._committed(COMPACTED, "upto"), default=-1)

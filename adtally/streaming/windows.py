@@ -70,24 +70,16 @@ def dedup_within(events: DataFrame, keep: timedelta, ts: str = "event_ts") -> Da
 
 
 def finalise_stream(
-    bids: DataFrame,
-    impressions: DataFrame,
-    wait: timedelta,
-    max_bid_age: timedelta,
-    lateness: timedelta = timedelta(minutes=10),
+    bids: DataFrame, impressions: DataFrame, wait: timedelta, max_bid_age: timedelta
 ) -> DataFrame:
     """Matched or unknown, said once: the streaming form of ``unknown_after_wait``.
 
     A stream-stream left outer join with a time bound; an impression comes out as
-    unknown when the watermark has passed its wait. Inputs must be unique per id.
+    unknown when the watermark has passed its wait. Both inputs carry a watermark on
+    ``event_ts`` and are unique per id, as :func:`dedup_within` leaves them.
     """
-    delay = f"{int(lateness.total_seconds())} seconds"
-    left = impressions.select("bid_id", "event_ts").withWatermark("event_ts", delay).alias("i")
-    right = (
-        bids.select(F.col("bid_id").alias("b_id"), "campaign_id", F.col("event_ts").alias("b_ts"))
-        .withWatermark("b_ts", delay)
-        .alias("b")
-    )
+    left = impressions.select("bid_id", "event_ts")
+    right = bids.select(F.col("bid_id").alias("b_id"), "campaign_id", F.col("event_ts").alias("b_ts"))
     in_time = (
         (F.col("bid_id") == F.col("b_id"))
         & (F.col("b_ts") <= F.col("event_ts") + F.expr(f"INTERVAL {int(wait.total_seconds())} SECONDS"))
