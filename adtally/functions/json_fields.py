@@ -3,12 +3,13 @@
 ``from_json`` coerces numbers to strings and ignores what follows the document.
 Here the text is parsed once, as the only element of an array: trailing bytes, a
 second document or a truncated one make the array invalid or longer than one.
-Field types are then read off the parsed variant.
+Field types are then read off the parsed variant: the usual document is recognised
+by its printed shape, and only an unusual one is looked at field by field.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,22 +27,41 @@ def parse_first_document(text: Column) -> Column:
     return F.try_parse_json(text)
 
 
-def _at(name: str, only: bool) -> str:
-    return f"$[0].{name}" if only else f"$.{name}"
+def _at(only: bool) -> str:
+    return "$[0]" if only else "$"
 
 
-def field_value(parsed: Column, field: T.StructField, only: bool = True) -> Column:
+def typical_shape(schema: T.StructType) -> str:
+    """The shape of a lone document that has every field, as ``shape`` prints it."""
+    fields = sorted((f.name, _WANTED[f.dataType]) for f in schema)
+    return f"ARRAY<OBJECT<{', '.join(f'{name}: {kind}' for name, kind in fields)}>>"
+
+
+def shape(parsed: Column) -> Column:
+    return F.schema_of_variant(parsed)
+
+
+def document(parsed: Column, schema: T.StructType, only: bool = True) -> Column:
+    """All fields at once, as a struct; NULL fields where missing or null."""
+    return F.try_variant_get(parsed, _at(only), schema.simpleString())
+
+
+def value_of(doc: Column, field: T.StructField) -> Column:
     """Missing and null fields read as '' or 0."""
-    if isinstance(field.dataType, T.LongType):
-        return F.coalesce(F.try_variant_get(parsed, _at(field.name, only), "bigint"), F.lit(0))
-    return F.coalesce(F.try_variant_get(parsed, _at(field.name, only), "string"), F.lit(""))
+    empty = F.lit(0) if isinstance(field.dataType, T.LongType) else F.lit("")
+    return F.coalesce(doc[field.name], empty.cast(field.dataType))
+
+
+def has_more(parsed: Column) -> Column:
+    """True when a second document follows the first."""
+    return F.try_variant_get(parsed, "$[1]", "variant").isNotNull()
 
 
-def has_wrong_type(parsed: Column, fields: list[T.StructField], only: bool = True) -> Column:
+def has_wrong_type(parsed: Column, schema: T.StructType, only: bool = True) -> Column:
     """True when any field is present, not null, and of another JSON type."""
     wrong = F.lit(False)
-    for field in fields:
-        found = F.schema_of_variant(F.try_variant_get(parsed, _at(field.name, only), "variant"))
+    for field in schema:
+        found = F.schema_of_variant(F.try_variant_get(parsed, f"{_at(only)}.{field.name}", "variant"))
         wrong = wrong | ~F.coalesce(found, F.lit("VOID")).isin("VOID", _WANTED[field.dataType])
     return wrong
 
@@ -52,16 +72,16 @@ def is_no_object(text: Column, parsed: Column, only: bool = True) -> Column:
     null = body == "null" if only else F.startswith(body, F.lit("null"))
     bad = parsed.isNull() | ~(F.startswith(body, F.lit("{")) | null)
     if only:
-        bad = bad | F.try_variant_get(parsed, "$[1]", "variant").isNotNull()
+        bad = bad | has_more(parsed)
     return F.coalesce(bad, F.lit(True))
 
 
-def unpack(rows, parsed: Column, **columns: Column):
-    """Add columns read off a parsed document, computed once per row.
+def unpack(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns computed from ``_``-prefixed helper columns, and drop those.
 
     The row passes through a one-element ``inline``: later filters on the new
     columns then stay above it, rather than being rewritten into repeated parses.
     """
-    keep = [name for name in rows.columns if name != "_parsed"]
+    keep = [name for name in rows.columns if not name.startswith("_")]
     values = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return rows.withColumn("_parsed", parsed).select(*keep, F.inline(F.array(values)))
+    return rows.select(*keep, F.inline(F.array(values)))

@@ -36,27 +36,32 @@ def decode(records: DataFrame) -> DataFrame:
     Adds ``kind``, the event's fields, ``event_ts`` and ``reason``; ``reason`` is
     NULL for an accepted record. Works on static and streaming input alike.
     """
-    parsed, value = F.col("_parsed"), F.col("value")
-    shared = [field for field in BID_EVENT if field.name in IMPRESSION_EVENT.names]
-    bid_only = [field for field in BID_EVENT if field.name not in IMPRESSION_EVENT.names]
+    parsed, value, doc = F.col("_parsed"), F.col("value"), F.col("_doc")
+    is_bid = F.col("kind") == BID
+    rows = (
+        records.withColumn("kind", _kind(F.col("topic")))
+        .withColumn("_parsed", J.parse_only_document(value))
+        .withColumns({"_shape": J.shape(parsed), "_doc": J.document(parsed, BID_EVENT)})
+    )
+    usual = F.when(is_bid, J.typical_shape(BID_EVENT)).otherwise(J.typical_shape(IMPRESSION_EVENT))
+    wrong = F.when(is_bid, J.has_wrong_type(parsed, BID_EVENT)).otherwise(
+        J.has_wrong_type(parsed, IMPRESSION_EVENT)
+    )
     rows = J.unpack(
-        records.withColumn("kind", _kind(F.col("topic"))),
-        J.parse_only_document(value),
-        **{field.name: J.field_value(parsed, field) for field in BID_EVENT},
-        _no_object=J.is_no_object(value, parsed),
-        _wrong=J.has_wrong_type(parsed, shared),
-        _wrong_bid=J.has_wrong_type(parsed, bid_only),
+        rows,
+        **{field.name: J.value_of(doc, field) for field in BID_EVENT},
+        invalid=F.when((F.col("_shape") == usual) & ~J.has_more(parsed), F.lit(False)).otherwise(
+            J.is_no_object(value, parsed) | wrong
+        ),
     )
-    is_bid = F.col("kind") == BID
-    invalid = F.col("_no_object") | F.col("_wrong") | (is_bid & F.col("_wrong_bid"))
     missing = (F.col("bid_id") == "") | (is_bid & (F.col("campaign_id") == ""))
     return (
         rows.withColumn(
             "reason",
-            F.when(invalid, F.lit(INVALID_JSON)).when(missing, F.lit(MISSING_REQUIRED)),
+            F.when(F.col("invalid"), F.lit(INVALID_JSON)).when(missing, F.lit(MISSING_REQUIRED)),
         )
         .withColumn("event_ts", event_time(F.col("timestamp"), F.col("arrival_ts")))
-        .drop("_no_object", "_wrong", "_wrong_bid")
+        .drop("invalid")
     )
 
 

@@ -79,23 +79,26 @@ def classify_billing(billing: DataFrame, hot_rows: int | None = None) -> DataFra
     Outcomes: ``malformed``, ``missing_id``, ``duplicate`` (within 24 h of an
     accepted request for that bid) and ``accepted``.
     """
-    parsed, value = F.col("_parsed"), F.col("value")
-    fields = list(BILLING_REQUEST)
+    parsed, value, doc = F.col("_parsed"), F.col("value"), F.col("_doc")
+    rows = (
+        billing.select("seq", "arrival_ts", "value")
+        .withColumn("_parsed", J.parse_first_document(value))
+        .withColumn("_doc", J.document(parsed, BILLING_REQUEST, only=False))
+    )
     decoded = (
         J.unpack(
-            billing.select("seq", "arrival_ts", "value"),
-            J.parse_first_document(value),
-            bid_id=J.field_value(parsed, BILLING_REQUEST["bid_id"], only=False),
-            _no_object=J.is_no_object(value, parsed, only=False),
-            _wrong=J.has_wrong_type(parsed, fields, only=False),
+            rows,
+            bid_id=J.value_of(doc, BILLING_REQUEST["bid_id"]),
+            malformed=J.is_no_object(value, parsed, only=False)
+            | J.has_wrong_type(parsed, BILLING_REQUEST, only=False),
         )
         .withColumn(
             "outcome",
-            F.when(F.col("_no_object") | F.col("_wrong"), F.lit("malformed")).when(
+            F.when(F.col("malformed"), F.lit("malformed")).when(
                 F.col("bid_id") == "", F.lit("missing_id")
             ),
         )
-        .drop("value", "_no_object", "_wrong")
+        .drop("value", "malformed")
     )
     rejected = decoded.where(F.col("outcome").isNotNull()).select("seq", "bid_id", "arrival_ts", "outcome")
     options = {} if hot_rows is None else {"hot_rows": hot_rows}

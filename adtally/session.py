@@ -37,6 +37,8 @@ def build(app: str = "adtally", master: str | None = None, conf: dict | None = N
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    # Recording a Python stack per expression costs more than planning the query.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in {**RUNTIME_CONF, **STREAMING_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -17,11 +17,11 @@ ROWS_PER_FILE = 5_000_000
 def write_facts(facts: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Partitioned by ``event_date``, sorted by time within files for tight statistics.
 
-    The shuffle is by range over (date, time), so a date with most of the rows is
-    spread over many tasks and files.
+    The rebalance gathers small dates into few files and splits a date that holds
+    most of the rows over many tasks.
     """
     (
-        facts.repartitionByRange("event_date", "event_ts")
+        facts.hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", "event_ts")
         .write.mode(mode)
         .option("maxRecordsPerFile", ROWS_PER_FILE)

@@ -13,7 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from adtally.schemas import UNKNOWN
 
-ACCEPTED = "bid_id STRING, seq BIGINT, arrival_ts TIMESTAMP"
+_PICKED = "bid_id STRING, seq BIGINT, micros BIGINT"
 _LAST = "last_micros BIGINT"
 
 
@@ -24,26 +24,19 @@ def accept_once_per(window: timedelta = timedelta(hours=24)):
     def accept(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         # A micro-batch's rows of one key, as two integer arrays: the trigger bounds them.
         pieces = [(c["micros"].to_numpy(), c["seq"].to_numpy()) for c in chunks]
-        micros = np.concatenate([m for m, _ in pieces])
-        seqs = np.concatenate([s for _, s in pieces])
-        order = np.lexsort((seqs, micros))
-        micros, seqs = micros[order], seqs[order]
-        picked, position = [], 0
-        if state.exists:
-            position = int(np.searchsorted(micros, state.get[0] + width, side="left"))
+        micros, seqs = pieces[0] if len(pieces) == 1 else map(np.concatenate, zip(*pieces))
+        if len(micros) > 1:
+            order = np.lexsort((seqs, micros))
+            micros, seqs = micros[order], seqs[order]
+        position = int(np.searchsorted(micros, state.get[0] + width)) if state.exists else 0
+        picked = []
         # One step per accepted event, not per row: the next one is found by search.
         while position < len(micros):
             picked.append(position)
-            position = int(np.searchsorted(micros, micros[position] + width, side="left"))
+            position = int(np.searchsorted(micros, micros[position] + width))
         if picked:
             state.update((int(micros[picked[-1]]),))
-            yield pd.DataFrame(
-                {
-                    "bid_id": key[0],
-                    "seq": seqs[picked],
-                    "arrival_ts": pd.to_datetime(micros[picked], unit="us"),
-                }
-            )
+            yield pd.DataFrame({"bid_id": key[0], "seq": seqs[picked], "micros": micros[picked]})
 
     return accept
 
@@ -58,8 +51,9 @@ def suppress_stream(billing: DataFrame, window: timedelta = timedelta(hours=24))
         billing.select("bid_id", "seq", F.unix_micros("arrival_ts").alias("micros"))
         .groupBy("bid_id")
         .applyInPandasWithState(
-            accept_once_per(window), ACCEPTED, _LAST, "append", GroupStateTimeout.NoTimeout
+            accept_once_per(window), _PICKED, _LAST, "append", GroupStateTimeout.NoTimeout
         )
+        .select("bid_id", "seq", F.timestamp_micros("micros").alias("arrival_ts"))
     )
 
 
