@@ -1,10 +1,11 @@
 """Strict JSON decoding.
 
-``from_json`` coerces numbers to strings and ignores what follows the document.
-Here the text is parsed once, as the only element of an array: trailing bytes, a
-second document or a truncated one make the array invalid or longer than one.
-Field types are then read off the parsed variant: the usual document is recognised
-by its printed shape, and only an unusual one is looked at field by field.
+``from_json`` reads the fields, but it also turns numbers into strings and ignores
+what follows the document. So a text must be shown to be strict. Nearly all are in
+the form the encoder writes, which one regular expression recognises. Only other
+texts are parsed as the single element of an array: trailing bytes, a second document
+or a truncated one then make the array invalid or longer than one, and the types of
+the fields are read off the parsed variant.
 """
 
 from __future__ import annotations
@@ -17,33 +18,23 @@ _WANTED = {T.StringType(): "STRING", T.LongType(): "BIGINT"}
 _SPACE = " \t\r\n"
 
 
-def parse_only_document(text: Column) -> Column:
-    """The document as a one-element variant array, or NULL when it is not JSON."""
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-
-
-def parse_first_document(text: Column) -> Column:
-    """Like a request decoder: reads one document and ignores the bytes after it."""
-    return F.try_parse_json(text)
-
-
 def _at(only: bool) -> str:
     return "$[0]" if only else "$"
 
 
-def typical_shape(schema: T.StructType) -> str:
-    """The shape of a lone document that has every field, as ``shape`` prints it."""
-    fields = sorted((f.name, _WANTED[f.dataType]) for f in schema)
-    return f"ARRAY<OBJECT<{', '.join(f'{name}: {kind}' for name, kind in fields)}>>"
-
+def encoder_form(text: Column, schema: T.StructType) -> Column:
+    """True for a document as the encoder writes it: every field, in order, no escapes."""
+    values = {"STRING": r'"[^"\\\x00-\x1f]*+"', "BIGINT": r"(?:0|-?[1-9][0-9]{0,17})"}
+    fields = ",".join(f'"{f.name}":{values[_WANTED[f.dataType]]}' for f in schema)
+    return F.coalesce(text.rlike(r"\A\{" + fields + r"\}\z"), F.lit(False))
 
-def shape(parsed: Column) -> Column:
-    return F.schema_of_variant(parsed)
 
+def parse(text: Column, only: bool = True) -> Column:
+    """The text as a variant: a one-element array with ``only``, else its first document.
 
-def document(parsed: Column, schema: T.StructType, only: bool = True) -> Column:
-    """All fields at once, as a struct; NULL fields where missing or null."""
-    return F.try_variant_get(parsed, _at(only), schema.simpleString())
+    The second form reads like a request decoder, which ignores the bytes after it.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")) if only else text)
 
 
 def value_of(doc: Column, field: T.StructField) -> Column:
@@ -52,18 +43,24 @@ def value_of(doc: Column, field: T.StructField) -> Column:
     return F.coalesce(doc[field.name], empty.cast(field.dataType))
 
 
-def has_more(parsed: Column) -> Column:
-    """True when a second document follows the first."""
-    return F.try_variant_get(parsed, "$[1]", "variant").isNotNull()
+def text_fields(schema: T.StructType) -> Column:
+    """The names of the schema's string fields, as an array."""
+    return F.array(*[F.lit(f.name) for f in schema if isinstance(f.dataType, T.StringType)])
+
+
+def has_wrong_type(parsed: Column, texts: Column, only: bool = True) -> Column:
+    """True when a field is present, not null, and of another JSON type.
+
+    ``texts`` names the string fields; ``timestamp`` is an integer. One lambda serves
+    all fields: written out per field, the generated code gets too long to run fast.
+    """
+    fields = F.try_variant_get(parsed, _at(only), "map<string,variant>")
 
+    def is_one(name: Column, kind: str) -> Column:
+        found = F.schema_of_variant(F.try_element_at(fields, name))
+        return F.coalesce(found, F.lit("VOID")).isin("VOID", kind)
 
-def has_wrong_type(parsed: Column, schema: T.StructType, only: bool = True) -> Column:
-    """True when any field is present, not null, and of another JSON type."""
-    wrong = F.lit(False)
-    for field in schema:
-        found = F.schema_of_variant(F.try_variant_get(parsed, f"{_at(only)}.{field.name}", "variant"))
-        wrong = wrong | ~F.coalesce(found, F.lit("VOID")).isin("VOID", _WANTED[field.dataType])
-    return wrong
+    return ~(F.forall(texts, lambda name: is_one(name, "STRING")) & is_one(F.lit("timestamp"), "BIGINT"))
 
 
 def is_no_object(text: Column, parsed: Column, only: bool = True) -> Column:
@@ -72,7 +69,7 @@ def is_no_object(text: Column, parsed: Column, only: bool = True) -> Column:
     null = body == "null" if only else F.startswith(body, F.lit("null"))
     bad = parsed.isNull() | ~(F.startswith(body, F.lit("{")) | null)
     if only:
-        bad = bad | has_more(parsed)
+        bad = bad | F.try_variant_get(parsed, "$[1]", "variant").isNotNull()
     return F.coalesce(bad, F.lit(True))
 
 

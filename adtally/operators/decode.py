@@ -36,23 +36,21 @@ def decode(records: DataFrame) -> DataFrame:
     Adds ``kind``, the event's fields, ``event_ts`` and ``reason``; ``reason`` is
     NULL for an accepted record. Works on static and streaming input alike.
     """
-    parsed, value, doc = F.col("_parsed"), F.col("value"), F.col("_doc")
-    is_bid = F.col("kind") == BID
+    value, is_bid = F.col("value"), F.col("kind") == BID
+    usual = F.when(is_bid, J.encoder_form(value, BID_EVENT)).otherwise(J.encoder_form(value, IMPRESSION_EVENT))
+    texts = F.when(is_bid, J.text_fields(BID_EVENT)).otherwise(J.text_fields(IMPRESSION_EVENT))
+    odd = F.col("_odd")
+    strict_failure = J.is_no_object(value, odd) | J.has_wrong_type(odd, texts)
     rows = (
         records.withColumn("kind", _kind(F.col("topic")))
-        .withColumn("_parsed", J.parse_only_document(value))
-        .withColumns({"_shape": J.shape(parsed), "_doc": J.document(parsed, BID_EVENT)})
-    )
-    usual = F.when(is_bid, J.typical_shape(BID_EVENT)).otherwise(J.typical_shape(IMPRESSION_EVENT))
-    wrong = F.when(is_bid, J.has_wrong_type(parsed, BID_EVENT)).otherwise(
-        J.has_wrong_type(parsed, IMPRESSION_EVENT)
+        .withColumn("_usual", usual)
+        .withColumns({"_doc": F.from_json(value, BID_EVENT), "_odd": F.when(~F.col("_usual"), J.parse(value))})
+        .withColumn("_invalid", F.when(F.col("_usual"), F.lit(False)).otherwise(strict_failure))
     )
     rows = J.unpack(
         rows,
-        **{field.name: J.value_of(doc, field) for field in BID_EVENT},
-        invalid=F.when((F.col("_shape") == usual) & ~J.has_more(parsed), F.lit(False)).otherwise(
-            J.is_no_object(value, parsed) | wrong
-        ),
+        **{field.name: J.value_of(F.col("_doc"), field) for field in BID_EVENT},
+        invalid=F.col("_invalid"),
     )
     missing = (F.col("bid_id") == "") | (is_bid & (F.col("campaign_id") == ""))
     return (

@@ -79,18 +79,27 @@ def classify_billing(billing: DataFrame, hot_rows: int | None = None) -> DataFra
     Outcomes: ``malformed``, ``missing_id``, ``duplicate`` (within 24 h of an
     accepted request for that bid) and ``accepted``.
     """
-    parsed, value, doc = F.col("_parsed"), F.col("value"), F.col("_doc")
+    value, odd = F.col("value"), F.col("_odd")
+    strict_failure = J.is_no_object(value, odd, only=False) | J.has_wrong_type(
+        odd, J.text_fields(BILLING_REQUEST), only=False
+    )
     rows = (
         billing.select("seq", "arrival_ts", "value")
-        .withColumn("_parsed", J.parse_first_document(value))
-        .withColumn("_doc", J.document(parsed, BILLING_REQUEST, only=False))
+        .withColumn("_usual", J.encoder_form(value, BILLING_REQUEST))
+        .withColumns(
+            {
+                "_doc": F.from_json(value, BILLING_REQUEST),
+                "_odd": F.when(~F.col("_usual"), J.parse(value, only=False)),
+            }
+        )
+        .withColumn("_malformed", F.when(F.col("_usual"), F.lit(False)).otherwise(strict_failure))
     )
+    bid_id = J.value_of(F.col("_doc"), BILLING_REQUEST["bid_id"])
     decoded = (
         J.unpack(
             rows,
-            bid_id=J.value_of(doc, BILLING_REQUEST["bid_id"]),
-            malformed=J.is_no_object(value, parsed, only=False)
-            | J.has_wrong_type(parsed, BILLING_REQUEST, only=False),
+            bid_id=F.when(F.col("_malformed"), F.lit("")).otherwise(bid_id),
+            malformed=F.col("_malformed"),
         )
         .withColumn(
             "outcome",
