@@ -365,6 +365,11 @@ ORACLE["matched_bid_ids"] = _with(_FACTS, "SELECT bid_id FROM bids WHERE bid_id
 ORACLE["summary_exact"] = _with(_DELTAS, _summary(*UNALIGNED, "facts", _between(*UNALIGNED)))
 ORACLE["by_campaign_exact"] = _with(_DELTAS, _campaigns(_between(*WEEK)))
 ORACLE["by_campaign_from_facts"] = _with(_DELTAS, _campaigns(_between(*UNALIGNED)))
+ORACLE["by_campaign_json"] = (
+    "SELECT '{\"campaign_id\":\"' || campaign_id || '\",\"bid_requests\":' || bid_requests "
+    "|| ',\"deduped_impressions\":' || deduped_impressions || ',\"unknown_impressions\":' || unknown_impressions "
+    f"|| ',\"view_rate\":' || view_rate || '}}' AS value FROM ({ORACLE['by_campaign_exact']})"
+)
 ORACLE["bucketed_counts"] = _with(
     _DELTAS, f"SELECT date_trunc('hour', ts) AS ts, {_SUMS} FROM deltas GROUP BY 1"
 )

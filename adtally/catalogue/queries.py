@@ -17,7 +17,7 @@ from adtally.plans.serving import Serving
 from adtally.schemas import BID, BID_TOPIC, COUNTERS, IMPRESSION, IMPRESSION_TOPIC
 from adtally.session import STREAMING_CONF, configure, working_dir
 from adtally.sources import facts as fact_tables
-from adtally.sources import tables, topics
+from adtally.sources import results, tables, topics
 from adtally.streaming import projector
 from adtally.streaming import store as S
 from adtally.streaming.windows import suppress_stream
@@ -289,6 +289,11 @@ def bucketed_counts(spark, events):
     return metrics.bucketed_counts(_deltas(events), "hour")
 
 
+@query
+def by_campaign_json(spark, events):
+    return results.as_json(by_campaign_exact(spark, events))
+
+
 @query
 def timeseries_minute(spark, events):
     return metrics.series(metrics.in_range(_deltas(events), *HOURS), *HOURS, "minute")

@@ -71,30 +71,27 @@ class BatchStore:
         return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
     def _committed(self, table: str, key: str) -> list[int]:
-        """Numbers of the complete directories: those with a success marker."""
+        """Numbers of the written directories: those with a success marker."""
         path, files = self._files(f"{self.root}/{table}/{key}=*/_SUCCESS")
         found = files.globStatus(path) or []
         return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
+    def last_complete(self) -> int:
+        """The last batch written to all its tables; batches complete in order."""
+        return max(self._committed(PROGRESS, "batch_id"), default=-1)
+
     def one(self, table: str, batch_id: int, schema=None) -> DataFrame:
         """One batch of a table, complete or not."""
         return self.spark.read.schema(schema or SCHEMAS[table]).parquet(self._path(table, batch_id))
 
-    def batches(self, table: str) -> list[int]:
-        """Batches of a table that are complete in every table."""
-        complete = set(self._committed(PROGRESS, "batch_id"))
-        return [n for n in self._committed(table, "batch_id") if n in complete]
-
-    def _load(self, table: str, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], SCHEMAS[table])
-        reader = self.spark.read.schema(SCHEMAS[table]).option("basePath", f"{self.root}/{table}")
-        return reader.parquet(*paths).drop("batch_id", "upto")
-
     def read(self, table: str, after: int = -1) -> DataFrame:
-        """All complete batches later than ``after``."""
-        numbers = [n for n in self.batches(table) if n > after]
-        return self._load(table, [self._path(table, n) for n in numbers])
+        """All complete batches later than ``after``; other directories are pruned."""
+        path, files = self._files(f"{self.root}/{table}")
+        last = self.last_complete()
+        if last <= after or not files.exists(path):
+            return self.spark.createDataFrame([], SCHEMAS[table])
+        rows = self.spark.read.schema(f"{SCHEMAS[table]}, batch_id BIGINT").parquet(f"{self.root}/{table}")
+        return rows.where((F.col("batch_id") > after) & (F.col("batch_id") <= last)).drop("batch_id")
 
     def compacted_upto(self) -> int:
         return max(self._committed(COMPACTED, "upto"), default=-1)
@@ -104,22 +101,36 @@ class BatchStore:
         upto = self.compacted_upto()
         rows = self.read(MINUTES, after=upto)
         if upto >= 0:
-            rows = rows.unionByName(self._load(COMPACTED, [f"{self.root}/{COMPACTED}/upto={upto}"]))
+            compacted = self.spark.read.schema(SCHEMAS[COMPACTED]).parquet(f"{self.root}/{COMPACTED}/upto={upto}")
+            rows = rows.unionByName(compacted)
         return rows.groupBy("campaign_id", "minute_ts").agg(*sums()).where(any_count())
 
     def compact(self) -> int:
-        """Fold all committed minute batches into a new version.
+        """Fold all complete minute batches into a new version.
 
         The new version goes to its own directory and counts from the moment its
         success marker is there; readers before that use the old one.
         """
-        numbers = self.batches(MINUTES)
-        if not numbers or numbers[-1] <= self.compacted_upto():
-            return self.compacted_upto()
-        upto = numbers[-1]
-        rows = self.minute_campaign().repartitionByRange("minute_ts").sortWithinPartitions("minute_ts")
-        rows.write.mode("overwrite").parquet(f"{self.root}/{COMPACTED}/upto={upto}")
-        return upto
+        upto = self.last_complete()
+        if upto > self.compacted_upto():
+            rows = self.minute_campaign().repartitionByRange("minute_ts").sortWithinPartitions("minute_ts")
+            rows.write.mode("overwrite").parquet(f"{self.root}/{COMPACTED}/upto={upto}")
+        return self.compacted_upto()
+
+    def vacuum(self) -> int:
+        """Delete minute batches and versions that the version before the last replaced.
+
+        Readers on one of the last two versions are not disturbed. The ledger stays.
+        """
+        versions = self._committed(COMPACTED, "upto")
+        if len(versions) < 2:
+            return 0
+        old = [(MINUTES, "batch_id", n) for n in self._committed(MINUTES, "batch_id") if n <= versions[-2]]
+        old += [(COMPACTED, "upto", n) for n in versions[:-2]]
+        for table, key, number in old:
+            path, files = self._files(f"{self.root}/{table}/{key}={number}")
+            files.delete(path, True)
+        return len(old)
 
     def freshness(self) -> DataFrame:
         """When the last projected batch was written."""
