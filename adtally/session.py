@@ -26,6 +26,23 @@ STREAMING_CONF = {
 }
 
 
+#: Shuffled bytes per reduce task; AQE merges tasks that turn out smaller.
+BYTES_PER_TASK = 128 * 1024 * 1024
+MAX_SHUFFLE_TASKS = 100_000
+
+
+def shuffle_conf(shuffled_bytes: int) -> dict[str, str]:
+    """Shuffle width for a job that shuffles about this much.
+
+    The default of 200 tasks would give each 500 GB of a 100 TB shuffle.
+    """
+    tasks = min(max(200, -(-shuffled_bytes // BYTES_PER_TASK)), MAX_SHUFFLE_TASKS)
+    return {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(BYTES_PER_TASK),
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
@@ -54,11 +71,11 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="run-adtally-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-adtally-"))
+    return context.getCheckpointDir()
 
 
 def working_dir(spark: SparkSession, name: str) -> str:

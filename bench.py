@@ -83,6 +83,8 @@ def main() -> None:
         f"local[{CPUS}]",
         {
             "spark.sql.shuffle.partitions": str(CPUS),
+            # Small tables on one machine: keep reduce tasks on all cores.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
