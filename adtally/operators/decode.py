@@ -87,6 +87,7 @@ def changes(decoded: DataFrame) -> DataFrame:
     An impression's own campaign field is not used: attribution comes from bids.
     """
     return accepted(decoded).select(
+        "offset",
         "seq",
         "kind",
         "bid_id",

@@ -9,13 +9,23 @@ from adtally.functions.times import event_date
 from adtally.schemas import BID, BID_SEEN, IMPRESSION_SEEN
 
 
+def arrival_order(rows: DataFrame) -> list[str]:
+    """The columns that order records of one topic and one key.
+
+    Topics are keyed by bid id, so all records of an id share a partition and their
+    offsets are the order of writing, whatever the producers' clocks say. Relations
+    without offsets are ordered by ``seq``.
+    """
+    return ["offset", "seq"] if "offset" in rows.columns else ["seq"]
+
+
 def first_write(rows: DataFrame, key: str = "bid_id", order: list[str] | None = None) -> DataFrame:
-    """The first row per key by ``order``.
+    """The first row per key of one topic's rows.
 
     Ranking with a limit of one is also applied before the shuffle, so a key with
     very many copies sends one row per map task, not all of them.
     """
-    window = Window.partitionBy(key).orderBy(*(order or ["seq"]))
+    window = Window.partitionBy(key).orderBy(*(order or arrival_order(rows)))
     return rows.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
 
 
@@ -50,7 +60,7 @@ def change_log(changes: DataFrame) -> DataFrame:
 
     One ranking over (kind, bid_id) serves both fact tables.
     """
-    window = Window.partitionBy("bid_id", "kind").orderBy("seq")
+    window = Window.partitionBy("bid_id", "kind").orderBy(*arrival_order(changes))
     return (
         changes.withColumn("_rank", F.row_number().over(window))
         .where(F.col("_rank") == 1)

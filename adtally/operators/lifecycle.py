@@ -15,6 +15,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adtally.operators.dedup import arrival_order
 from adtally.schemas import BID, COUNTERS, IMPRESSION, UNKNOWN
 
 
@@ -25,17 +26,19 @@ def first_of(kind: str, order: list[str], carry: list[str]) -> Column:
 
 def lifecycle(
     changes: DataFrame,
-    order: tuple[str, ...] = ("seq",),
+    order: list[str] | None = None,
     bid_carry: tuple[str, ...] = ("campaign_id", "event_ts"),
     impression_carry: tuple[str, ...] = ("event_ts",),
 ) -> DataFrame:
     """``(bid_id, bid, impression)``: structs of the first record of each kind, or NULL.
 
-    Carry only what is needed: the structs are what is shuffled and sorted.
+    ``order`` defaults to the order of arrival. Carry only what is needed: the structs
+    are what is shuffled and sorted.
     """
+    order = order or arrival_order(changes)
     return changes.groupBy("bid_id").agg(
-        first_of(BID, list(order), list(bid_carry)).alias("bid"),
-        first_of(IMPRESSION, list(order), list(impression_carry)).alias("impression"),
+        first_of(BID, order, list(bid_carry)).alias("bid"),
+        first_of(IMPRESSION, order, list(impression_carry)).alias("impression"),
     )
 
 

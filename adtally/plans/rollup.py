@@ -89,8 +89,10 @@ def growth(ledger: DataFrame, resolution: str = "day") -> DataFrame:
     """Totals as known after each arrival bucket: a running sum over the ledger.
 
     Needs ``known_ts``, the time a change became known. The running window sees one
-    row per bucket, not the ledger.
+    row per hour or day, not the ledger.
     """
+    if resolution not in ("hour", "day"):
+        raise ValueError("growth is per hour or per day")
     per_bucket = ledger.groupBy(bucket(F.col("known_ts"), resolution).alias("known_ts")).agg(*sums())
     upto = Window.orderBy("known_ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return per_bucket.select(

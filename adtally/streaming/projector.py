@@ -8,8 +8,8 @@ small row per bid id. From the rows a micro-batch touches, the ledger of signed
 counter changes follows without knowing the previous state: a first record is new
 exactly when it carries the current batch's time.
 
-Order is (batch time, seq). A record of an earlier batch therefore always wins, as
-a first write does. Within a batch the lowest ``seq`` wins.
+Order is (batch time, order of arrival). A record of an earlier batch therefore always
+wins, as a first write does; within a batch the lowest offset of a topic does.
 """
 
 from __future__ import annotations
@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adtally.functions.times import event_date
+from adtally.operators.dedup import arrival_order
 from adtally.operators.lifecycle import correction_ledger, lifecycle
 from adtally.plans.rollup import minute_campaign
 from adtally.schemas import BID_SEEN, IMPRESSION_SEEN
 from adtally.streaming import store as S
 
-ORDER = ("batch_ts", "seq")
 BID_PAYLOAD = ("request_id", "user_idfv", "placement_id", "raw_json")
 IMPRESSION_PAYLOAD = ("raw_json",)
 
@@ -39,8 +39,9 @@ def touched_lives(changes: DataFrame, with_facts: bool = False) -> DataFrame:
     """
     bid_carry = ("campaign_id", "event_ts", "arrival_ts") + (BID_PAYLOAD if with_facts else ())
     impression_carry = ("event_ts", "arrival_ts") + (IMPRESSION_PAYLOAD if with_facts else ())
+    order = ["batch_ts", *arrival_order(changes)]
     lives = lifecycle(
-        changes.withColumn("batch_ts", F.current_timestamp()), ORDER, bid_carry, impression_carry
+        changes.withColumn("batch_ts", F.current_timestamp()), order, bid_carry, impression_carry
     )
     newest = F.greatest(F.col("bid.batch_ts"), F.col("impression.batch_ts"))
     # Batch times come from the driver's clock and are kept in the offset log. Were

@@ -55,10 +55,11 @@ class BatchStore:
         return f"{self.root}/{table}/batch_id={batch_id}"
 
     def write(self, table: str, batch_id: int, rows: DataFrame, by: str | None = None) -> None:
-        writer = rows.write.mode("overwrite")
         if by:
-            writer = writer.partitionBy(by)
-        writer.parquet(self._path(table, batch_id))
+            writer = rows.hint("rebalance", by).write.partitionBy(by)
+        else:
+            writer = rows.write
+        writer.mode("overwrite").parquet(self._path(table, batch_id))
 
     def discard(self, table: str, batch_id: int) -> None:
         path, files = self._files(self._path(table, batch_id))

@@ -187,3 +187,22 @@ def test_unmatched_and_matched_ids(changes_of):
     assert attribution.unmatched_bids(bids, imps, 0).count() == 0
     assert {r.bid_id for r in attribution.matched_bid_ids(bids, imps).collect()} == {"x", "y"}
     assert {r.bid_id for r in attribution.unknown_impressions(imps, bids).collect()} == {"z"}
+
+
+def test_offsets_order_a_topic_whatever_the_clocks_say(spark):
+    """Producers' clocks may run backwards; within a topic the offset is the order."""
+    t0 = utc(2024, 1, 1)
+    rows = [
+        (7, 900, "bid", "a", "first", t0),
+        (8, 100, "bid", "a", "second", t0),
+        (3, 500, "impression", "a", None, t0),
+        (9, 500, "bid", "b", "tie", t0),
+        (10, 500, "bid", "b", "a-later-name", t0),
+    ]
+    changes = spark.createDataFrame(
+        rows, "offset BIGINT, seq BIGINT, kind STRING, bid_id STRING, campaign_id STRING, event_ts TIMESTAMP"
+    )
+    got = {r.bid_id: r.bid.campaign_id for r in lifecycle.lifecycle(changes).collect()}
+    assert got == {"a": "first", "b": "tie"}
+    firsts = dedup.first_write(changes.where("kind = 'bid'")).collect()
+    assert {r.bid_id: r.campaign_id for r in firsts} == got
