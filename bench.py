@@ -15,7 +15,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 from datetime import timedelta
 
@@ -88,7 +87,6 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-bench-"),
             **STREAMING_CONF,
         },
     )
