@@ -237,3 +237,18 @@ def test_finalise_stream_says_each_answer_once(spark, tmp_path):
         ("never", "UNKNOWN", "unknown"),
         ("ok", "c", "matched"),
     ]
+
+
+def test_the_streaming_fold_combines_before_its_shuffle(changes_of):
+    """The plan of one micro-batch: one exchange by id, with a partial minimum below it."""
+    plan = projector.touched_lives(changes_of(LATE_BID))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(bid_id") == 1
+    below = plan.split("Exchange hashpartitioning(bid_id")[1]
+    assert "partial_min" in below
+
+
+def test_one_id_with_most_records_of_a_stream(stream_of):
+    rows = [(n, "bid" if n % 2 else "impression", "hot" if n % 3 else f"k{n}", "c" if n % 2 else None, n % 90) for n in range(600)]
+    store, _ = stream_of([rows[:250], rows[250:]])
+    assert as_counter(store.read(S.LEDGER)) == model.ledger(rows)
+    assert as_minutes(store.minute_campaign()) == model.minutes(rows)
