@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def count_words(text: Column) -> Column:
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the text of a part stays near the limit; a longer row is a part of its own."""
-    sizes = np.array(pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0), dtype=np.int64)
+    sizes = np.array(pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64)
     start, held = 0, 0
     for row, size in enumerate(sizes.tolist()):
         if row > start and held + size > limit:
