@@ -51,8 +51,8 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
-    binary = pa.binary() if pa.types.is_string(column.type) else pa.large_binary()
-    return [x or b"" for x in column.cast(binary).to_pylist()]
+    small = pa.types.is_string(column.type) or pa.types.is_binary(column.type)
+    return [x or b"" for x in column.cast(pa.binary() if small else pa.large_binary()).to_pylist()]
 
 
 _SEPARATOR = np.zeros(256, dtype=bool)

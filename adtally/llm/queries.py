@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import binary
+from adtally.llm import binary, bpe, mixing
 from adtally.llm.common import table
 from adtally.session import working_dir
 
@@ -15,6 +15,15 @@ from adtally.session import working_dir
 END_ID = 1
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op2_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_dir(spark, "records")
     with open(public_tokenizers.path("word_bpe_49k.json")) as file:
@@ -24,6 +33,8 @@ def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op2_cube_mixing": op2_cube_mixing,
     "op9_binary_records": op9_binary_records,
 }
 
