@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import binary, bpe, mixing
+from adtally.llm import binary, bpe, html, mixing
 from adtally.llm.common import table
 from adtally.session import working_dir
 
@@ -32,10 +32,15 @@ def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.read_records(spark, root)
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_cube_mixing": op2_cube_mixing,
     "op9_binary_records": op9_binary_records,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE: dict[str, str] = {}
