@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import binary, bpe, html, mixing
+from adtally.llm import binary, bpe, html, mixing, rules
 from adtally.llm.common import table
 from adtally.session import working_dir
 
@@ -24,6 +24,10 @@ def op2_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_dir(spark, "records")
     with open(public_tokenizers.path("word_bpe_49k.json")) as file:
@@ -39,6 +43,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_cube_mixing": op2_cube_mixing,
+    "op5_quality_rules": op5_quality_rules,
     "op9_binary_records": op9_binary_records,
     "op10_html_text": op10_html_text,
 }
