@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import binary, bpe, chat, html, mixing, rules
+from adtally.llm import binary, bpe, chat, html, linedup, mixing, rules
 from adtally.llm.common import table
 from adtally.session import working_dir
 
@@ -40,6 +40,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(conversations.unionByName(hostile))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_dir(spark, "records")
     with open(public_tokenizers.path("word_bpe_49k.json")) as file:
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cube_mixing": op2_cube_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_format": op6_chat_format,
+    "op7_line_dedup": op7_line_dedup,
     "op9_binary_records": op9_binary_records,
     "op10_html_text": op10_html_text,
 }
@@ -98,6 +103,42 @@ SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
 FROM folded
 """
 
+#: Windows are compared by their lines themselves here.
+OP7_SQL = r"""
+WITH parts AS (
+  SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), every_line AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM parts
+), counted AS (
+  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM every_line
+), spoken AS (
+  SELECT doc_id, pos, line, words, row_number() OVER w AS k, sum(words) OVER w AS upto
+  FROM counted WHERE words > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), spans AS (
+  SELECT a.doc_id, a.k AS first, min(b.k) AS last FROM spoken a JOIN spoken b
+    ON a.doc_id = b.doc_id AND b.k >= a.k AND b.k < a.k + 50 AND b.upto - (a.upto - a.words) >= 50 GROUP BY 1, 2
+  UNION
+  SELECT b.doc_id, max(a.k) AS first, b.k AS last FROM spoken a JOIN spoken b
+    ON a.doc_id = b.doc_id AND a.k <= b.k AND a.k > b.k - 50 AND b.upto - (a.upto - a.words) >= 50 GROUP BY 1, 3
+), contents AS (
+  SELECT s.doc_id, s.first, s.last, string_agg(l.line, chr(10) ORDER BY l.k) AS content
+  FROM spans s JOIN spoken l ON l.doc_id = s.doc_id AND l.k BETWEEN s.first AND s.last GROUP BY 1, 2, 3
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, first) AS place FROM contents
+), gone AS (
+  SELECT DISTINCT l.doc_id, l.pos FROM ranked r JOIN spoken l
+    ON l.doc_id = r.doc_id AND l.k BETWEEN r.first AND r.last WHERE r.place > 1
+), rest AS (
+  SELECT e.doc_id, string_agg(CASE WHEN g.pos IS NULL THEN e.line END, chr(10) ORDER BY e.pos) AS kept,
+         count(*) AS n_lines, count(g.pos) AS n_deleted
+  FROM every_line e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.pos = e.pos GROUP BY 1
+)
+SELECT p.doc_id, CASE WHEN p.text IS NOT NULL THEN coalesce(r.kept, '') END AS text,
+       CASE WHEN p.text IS NULL THEN 0 ELSE r.n_lines END AS n_lines, r.n_deleted
+FROM parts p JOIN rest r ON r.doc_id = p.doc_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op7_line_dedup": OP7_SQL,
     "op6_chat_format": OP6_SQL,
 }
