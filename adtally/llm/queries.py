@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import binary, bpe, chat, html, linedup, mixing, rules
+from adtally.llm import binary, bpe, chat, html, linedup, mixing, ngram_join, rules
 from adtally.llm.common import table
 from adtally.session import working_dir
 
@@ -44,6 +44,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_dir(spark, "records")
     with open(public_tokenizers.path("word_bpe_49k.json")) as file:
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_format": op6_chat_format,
     "op7_line_dedup": op7_line_dedup,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_binary_records": op9_binary_records,
     "op10_html_text": op10_html_text,
 }
