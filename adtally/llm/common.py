@@ -149,3 +149,24 @@ def _cut(text: bytes, at: int) -> int:
 
 def word_hashes(text: bytes, lower: bool = True) -> np.ndarray:
     return texts_word_hashes([text], lower)[0]
+
+
+def first_bytes(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first bytes (8 at most), A-Z lowered, of each longer word, and which words are longer."""
+    found, longer = [], []
+    at = 0
+    while at < len(texts):
+        end, held = at, 0
+        while end < len(texts) and (end == at or held + len(texts[end]) <= _SEGMENT):
+            held += len(texts[end]) + 1
+            end += 1
+        data = _LOWER[np.frombuffer(b"\n".join(texts[at:end]) + bytes(_PAD), dtype=np.uint8)]
+        starts, ends = word_bounds(data[:-_PAD])
+        long_enough = ends - starts > size
+        numbers = np.ndarray(shape=(len(data) - _PAD + 1,), dtype="<u8", buffer=data.data, strides=(1,))
+        found.append(numbers[starts[long_enough]] & _FIRST[size])
+        longer.append(long_enough)
+        at = end
+    if not found:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
+    return np.concatenate(found), np.concatenate(longer)

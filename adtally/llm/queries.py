@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import binary, bpe, chat, html, linedup, mixing, ngram_join, rules
+from adtally.llm import binary, bpe, chat, html, linedup, mixing, ngram_join, rules, toxicity
 from adtally.llm.common import table
 from adtally.session import working_dir
 
@@ -24,6 +24,11 @@ def op2_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.learn(documents, table(spark, sf_dir, "labels")))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,6 +68,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_cube_mixing": op2_cube_mixing,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_format": op6_chat_format,
     "op7_line_dedup": op7_line_dedup,
