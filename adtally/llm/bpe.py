@@ -248,12 +248,13 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, DECODED)
 
 
-def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, n_tokens and digests of the ids and of the decoded bytes, for each document."""
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens and digests of the ids and of the decoded bytes, for each document; with_ids, the ids too."""
     both = decode(encode(docs, vocabulary), vocabulary)
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *([F.col("ids")] if with_ids else []),
     )

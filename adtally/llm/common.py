@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,15 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once for the row.
+
+    The planner copies a column's expression to where it is used, also into a lambda, where it would be computed
+    again for each element. A lambda's own variable stays a variable.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the text of a part stays near the limit; a longer row is a part of its own."""
     sizes = np.array(pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64)
