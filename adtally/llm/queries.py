@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adtally.llm import binary, bpe, chat, html, linedup, mixing, ngram_join, rules, toxicity
+from adtally.llm import binary, bpe, chat, html, linedup, mixing, ngram_join, rules, search, toxicity
 from adtally.llm.common import table
 from adtally.session import working_dir
 
@@ -24,6 +25,12 @@ def op2_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op3_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    queries = documents.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return search.search(documents, queries)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.learn(documents, table(spark, sf_dir, "labels")))
@@ -68,6 +75,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_cube_mixing": op2_cube_mixing,
+    "op3_bm25_topk": op3_bm25_topk,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_format": op6_chat_format,
@@ -149,7 +157,36 @@ SELECT p.doc_id, CASE WHEN p.text IS NOT NULL THEN coalesce(r.kept, '') END AS t
 FROM parts p JOIN rest r ON r.doc_id = p.doc_id
 """
 
+#: Every document is scored here, without an index.
+OP3_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS word
+  FROM documents
+), postings AS (
+  SELECT doc_id, word, count(*) AS tf FROM words GROUP BY 1, 2
+), sizes AS (
+  SELECT doc_id, sum(tf) AS length FROM postings GROUP BY 1
+), totals AS (
+  SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(length) FROM sizes) AS words
+), copies AS (
+  SELECT word, count(*) AS df FROM postings GROUP BY 1
+), scored AS (
+  SELECT q.doc_id AS query_id, p.doc_id,
+         sum(ln(1 + (t.n - c.df + 0.5) / (c.df + 0.5))
+             * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * s.length / (t.words / CAST(t.n AS DOUBLE))))) AS score
+  FROM postings q JOIN postings p ON p.word = q.word JOIN copies c ON c.word = q.word
+       JOIN sizes s ON s.doc_id = p.doc_id, totals t
+  WHERE q.doc_id % 100 = 0 GROUP BY 1, 2
+), ranked AS (
+  SELECT query_id, doc_id, round(score, 9) AS score,
+         row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
+    "op3_bm25_topk": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
     "op6_chat_format": OP6_SQL,
 }
