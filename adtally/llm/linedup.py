@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import WORD, working_table
+from adtally.llm.common import WORD, let, working_table
 
 #: Words a run has at least.
 MIN_WORDS = 50
@@ -54,46 +54,61 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         ),
         lambda x: x["words"] > 0,
     )
-    parted = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), lines.alias("lines")
-    ).where(F.size("lines") > 0)
-    flat = parted.select(
-        "doc_id",
-        "version",
-        F.col("lines.words").alias("words"),
-        F.col("lines.hash").alias("hashes"),
-        F.col("lines.digest").alias("digests"),
-        F.sequence(F.lit(1), F.size("lines")).alias("at"),
-    )
     # a line has a word, so a shortest run has no more lines than words
     reach = F.lit(min_words)
-    forward = F.transform(
-        "at", lambda i: F.struct(i.alias("first"), (i - 1 + _shortest(F.slice("words", i, reach), min_words)).alias("last"))
-    )
-    before = F.reverse("words")
-    size = F.size("words")
-    backward = F.transform(
-        "at",
-        lambda i: F.struct((i + 1 - _shortest(F.slice(before, size - i + 1, reach), min_words)).alias("first"), i.alias("last")),
-    )
-    spans = F.filter(
-        F.array_distinct(F.concat(forward, backward)), lambda s: s["first"].isNotNull() & s["last"].isNotNull()
-    )
-    spanned = flat.select("doc_id", "version", "hashes", "digests", spans.alias("spans")).where(F.size("spans") > 0)
 
-    def window(s: Column) -> Column:
+    def spans(x: Column) -> Column:
+        at = F.when(x["n"] > 0, F.sequence(F.lit(1), x["n"])).otherwise(F.array().cast("array<int>"))
+        def long_line(i: Column) -> Column:  # the usual case: a line that is a run by itself
+            return F.when(F.element_at(x["words"], i) >= min_words, i)
+
+        forward = F.transform(
+            at,
+            lambda i: F.struct(
+                i.alias("first"),
+                long_line(i).otherwise(i - 1 + _shortest(F.slice(x["words"], i, reach), min_words)).alias("last"),
+            ),
+        )
+        backward = F.transform(
+            at,
+            lambda i: F.struct(
+                long_line(i).otherwise(i + 1 - _shortest(F.slice(x["back"], x["n"] - i + 1, reach), min_words)).alias("first"),
+                i.alias("last"),
+            ),
+        )
+        both = F.array_distinct(F.concat(forward, backward))
+        return F.filter(both, lambda s: s["first"].isNotNull() & s["last"].isNotNull())
+
+    def window(x: Column, s: Column) -> Column:
         length = s["last"] - s["first"] + 1
-        own = F.slice("hashes", s["first"], length)
-        least = F.array_min(own)
-        return F.struct(
-            s["first"].alias("first"),
-            s["last"].alias("last"),
-            F.unhex(F.md5(F.array_join(F.slice("digests", s["first"], length), ""))).alias("digest"),
-            least.alias("fingerprint"),
-            (s["first"] - 1 + F.array_position(own, least)).cast("int").alias("line"),
+        own = F.slice(x["hashes"], s["first"], length)
+        digest = F.unhex(F.md5(F.array_join(F.slice(x["digests"], s["first"], length), "")))
+        return let(
+            F.array_min(own),
+            lambda least: F.struct(
+                s["first"].alias("first"),
+                s["last"].alias("last"),
+                digest.alias("digest"),
+                least.alias("fingerprint"),
+                (s["first"] - 1 + F.array_position(own, least)).cast("int").alias("line"),
+            ),
         )
 
-    return spanned.select("doc_id", "version", F.transform("spans", window).alias("windows"))
+    def all_windows(found: Column) -> Column:
+        columns = F.struct(
+            found["words"].alias("words"),
+            F.reverse(found["words"]).alias("back"),
+            found["hash"].alias("hashes"),
+            found["digest"].alias("digests"),
+            F.size(found).alias("n"),
+        )
+        return let(columns, lambda x: F.transform(spans(x), lambda s: window(x, s)))
+
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("version"),
+        let(lines, all_windows).alias("windows"),
+    )
 
 
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -126,32 +141,35 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return later.groupBy("doc_id", "version").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs without later repeated runs, with two more columns, n_lines and n_deleted.
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> DataFrame:
+    """docs without later repeated runs; with counts, two more columns, n_lines and n_deleted.
 
-    If docs has columns of these names, the new ones take their place.
+    If docs has columns of these names, the new ones take their place; without counts its own stay.
     """
     found = working_table(deletions(docs, min_words), "line-deletions").select(
         F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("spans").alias("__spans")
     )
-    kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
+    kept_columns = [c for c in docs.columns if not (counts and c in ("n_lines", "n_deleted"))]
     keyed = docs.select(*kept_columns, F.col("doc_id").cast("long").alias("__doc"), F.xxhash64("text").alias("__text_hash"))
     joined = keyed.join(
         found, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__version")), "left"
     )
-    lines = joined.withColumn("__lines", F.split("text", "\n", -1))
-    full = F.filter(
-        F.transform("__lines", lambda line, i: F.when(line.rlike(WORD), i)), lambda i: i.isNotNull()
-    )
+
+    def rest(lines: Column) -> Column:
+        full = F.filter(F.transform(lines, lambda line, i: F.when(line.rlike(WORD), i)), lambda i: i.isNotNull())
+        places = let(full, lambda f: F.transform(F.col("__gone"), lambda k: F.element_at(f, k)))
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places)
+        return F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n")
+
     gone = F.array_distinct(F.flatten(F.transform("__spans", lambda s: F.sequence(s["first"], s["last"]))))
-    marked = lines.withColumn("__full", F.when(F.col("__spans").isNotNull(), full)).withColumn("__gone", gone)
-    left = F.array_except(
-        F.sequence(F.lit(0), F.size("__lines") - 1), F.transform("__gone", lambda k: F.element_at("__full", k))
-    )
-    rest = F.array_join(F.transform(left, lambda i: F.element_at("__lines", i + 1)), "\n")
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(rest)
+    marked = joined.withColumn("__gone", gone)
+    n_lines = F.size(F.split("text", "\n", -1))
+    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(let(F.split("text", "\n", -1), rest))
+    out = [text.alias(c) if c == "text" else F.col(c) for c in kept_columns]
+    if not counts:
+        return marked.select(*out)
     return marked.select(
-        *(text.alias(c) if c == "text" else F.col(c) for c in kept_columns),
-        F.coalesce(F.when(F.col("text").isNotNull(), F.size("__lines")), F.lit(0)).cast("long").alias("n_lines"),
+        *out,
+        F.coalesce(F.when(F.col("text").isNotNull(), n_lines), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.when(F.col("__spans").isNotNull(), F.size("__gone")), F.lit(0)).cast("long").alias("n_deleted"),
     )
