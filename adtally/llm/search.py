@@ -240,7 +240,7 @@ def _search_block(index: DataFrame, block: DataFrame, n_docs: int, mean_length:
     ids = rows["query_id"].tolist()
     parts = rows["term"].to_numpy(dtype=np.int64).view(np.uint64)
     cuts = [i for i in range(len(ids)) if i == 0 or ids[i] != ids[i - 1]]
-    queries = [(int(ids[a]), np.sort(parts[a:b])) for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)]
+    queries = [(int(ids[a]), np.sort(parts[a:b])) for a, b in zip(cuts, [*cuts[1:], len(ids)])]
     terms = np.unique(np.concatenate([t for _, t in queries])) if queries else np.zeros(0, dtype=np.uint64)
     spark = index.sparkSession
     wanted = spark.sparkContext.broadcast(terms)
