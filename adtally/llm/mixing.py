@@ -7,16 +7,16 @@ of documents, number of tokens), so both totals stay what they are while one doc
 other reaches 0 or 1. Three documents in motion have a null space of one dimension, so a flight
 holds three at a time (the fast flight) and streams over its rows.
 
-In a flight rows come largest first, in steps of a factor of two and in random order within a step, for
-a document moves by the difference of the other two. The first document in motion draws its end (1 with
-probability pi) when it comes to the front and heads for it; the others absorb its moves. So
-what is still in motion at the end of a flight is small. Flights run over blocks of a source, then
-over what is left of many blocks, and so on; a block leaves two documents at most. The last two
-of a source are the landing problem: of their four outcomes the one nearest to the token total, then
-to the document total, is taken.
+Each move goes one way or the other with the odds that keep every document's expected value, so pi is the
+probability of coming once more. In a flight the largest document comes first, then the smallest, the second
+largest, the second smallest and so on: two large documents with a small one between them settle each
+other at once, while three alike would hardly move a far larger one. So what is still in motion at the end of a
+flight is of middling size. Flights run over blocks of a source, then over what is left of many blocks, and so on;
+a block leaves two documents at most. The last two of a source are the landing problem: of their four outcomes
+the one nearest to the token total, then to the document total, is taken.
 
-A block is chosen by a hash of doc_id alone and its rows are sorted by size, hash and doc_id, so the
-result depends on the data and the seed, not on the number of partitions or executors.
+A block is chosen by a hash of doc_id alone, its rows are ordered by size, hash and doc_id, and its random
+numbers are seeded by its name, so the result depends on the data and the seed, not on partitions or executors.
 
 Nulls and edge cases: a null or empty text has size 0; a null source is a source of its own, ordered
 last; a null doc_id is a value like others. Repeated rows are separate documents; which of equal rows
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import random
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -44,6 +45,10 @@ SHARE = 1.5
 MOST = 2.0
 #: Rows that a flight gets on average.
 BLOCK_ROWS = 20_000
+#: A source with so few rows flies TRIES times, and the landing nearest to its token total counts: with few documents
+#: the last two are a larger part of it.
+FEW_ROWS = 2_000
+TRIES = 16
 #: Blocks whose leftovers meet in the next flight.
 GATHER = 1000
 EPSILON = 1e-9
@@ -79,14 +84,15 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
 class Flight:
     """One block of one source: at most three documents in motion."""
 
-    def __init__(self):
-        self.moving: list[list] = []  # [pi, size, draw, end or None, row]
+    def __init__(self, seed: object = 0):
+        self.moving: list[list] = []  # [pi, size, row]
+        self.random = random.Random(str(seed)).random
 
-    def add(self, pi: float, size: int, draw: float, row) -> list[tuple]:
+    def add(self, pi: float, size: int, row) -> list[tuple]:
         """Take a document; returns those that reached 0 or 1, as (row, extra)."""
         if pi <= EPSILON or pi >= 1 - EPSILON:
             return [(row, int(pi > 0.5))]
-        self.moving.append([pi, size, draw, None, row])
+        self.moving.append([pi, size, row])
         out = []
         while len(self.moving) == 3:
             out += self._move()
@@ -97,18 +103,15 @@ class Flight:
         null = (b - c, c - a, a - b) if not a == b == c else (1, -1, 0)
         scale = max(abs(x) for x in null)
         null = [x / scale for x in null]
-        lead = next(i for i, x in enumerate(null) if x)
-        unit = self.moving[lead]
-        if unit[3] is None:
-            unit[3] = 1 if unit[2] < unit[0] else -1
-        if (null[lead] > 0) != (unit[3] > 0):
-            null = [-x for x in null]
-        step = min(((1 - u[0]) if x > 0 else u[0]) / abs(x) for u, x in zip(self.moving, null, strict=True) if x)
+        moves = [(u[0], x) for u, x in zip(self.moving, null, strict=True) if x]
+        forth = min((1 - pi) / x if x > 0 else pi / -x for pi, x in moves)
+        back = min(pi / x if x > 0 else (1 - pi) / -x for pi, x in moves)
+        step = forth if self.random() * (forth + back) < back else -back
         out, still = [], []
         for u, x in zip(self.moving, null, strict=True):
             u[0] += step * x
             if u[0] <= EPSILON or u[0] >= 1 - EPSILON:
-                out.append((u[4], int(u[0] > 0.5)))
+                out.append((u[2], int(u[0] > 0.5)))
             else:
                 still.append(u)
         self.moving = still
@@ -126,10 +129,10 @@ class Flight:
             ),
         )
         self.moving = []
-        return [(u[4], e) for e, u in zip(best, units, strict=True)]
+        return [(u[2], e) for e, u in zip(best, units, strict=True)]
 
     def rest(self) -> list[tuple]:
-        out, self.moving = [(u[4], u[0]) for u in self.moving], []
+        out, self.moving = [(u[2], u[0]) for u in self.moving], []
         return out
 
 
@@ -141,26 +144,44 @@ NAMES = [c.split()[0] for c in STATE.split(", ")]
 
 
 def _fly(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a partition come by block and source, largest first. extra is null while in motion."""
+    """Rows of a partition come by block and source, in the order of a flight. extra is null while in motion."""
     flight, held, out = Flight(), None, []
+    few: list[tuple] | None = None  # rows of a source with few of them
     extra_at, pi_at = NAMES.index("extra"), NAMES.index("pi")
 
     def settle(found: list[tuple]) -> None:
         out.extend(row[:extra_at] + (extra,) for row, extra in found)
 
+    def fly(rows: list[tuple], seed: object) -> list[tuple]:
+        own = Flight(seed)
+        found = [x for row in rows for x in own.add(row[pi_at], row[2], row)]
+        return found + own.land()
+
     def close() -> None:
-        if held is not None and held[2] == 1:
+        if few:
+            tries = [fly(few, (held, n)) for n in range(TRIES)]
+            wanted = sum(row[pi_at] * row[2] for row in few)
+            settle(min(tries, key=lambda found: abs(sum(extra * row[2] for row, extra in found) - wanted)))
+        elif held is not None and held[2] == 1:
             settle(flight.land())
         out.extend(row[:pi_at] + (pi, None) for row, pi in flight.rest())
 
     for batch in batches:
         columns = [batch[name].to_pylist() for name in NAMES]
         for row in zip(*columns, strict=True):
-            _, source, size, _, _, draw, _, blocks, block, pi, _ = row
+            _, source, size, _, _, _, _, blocks, block, pi, _ = row
             if held != (source, block, blocks):
                 close()
                 held = (source, block, blocks)
-            settle(flight.add(pi, size, draw, row))
+                flight, few = Flight(held), [] if blocks == 1 else None
+            if few is not None and len(few) < FEW_ROWS:
+                few.append(row)
+                continue
+            if few:  # it has more
+                for early in few:
+                    settle(flight.add(early[pi_at], early[2], early))
+            few = None
+            settle(flight.add(pi, size, row))
         if out:
             yield _batch(out)
             out.clear()
@@ -228,12 +249,13 @@ def plan(
         )
     )
     settled = None
+    group = Window.partitionBy("block", "source")
     while True:
-        flown = (
-            moving.repartition("block", "source")
-            .sortWithinPartitions("block", "source", F.desc(F.floor(F.log2(F.col("size") + 1))), "draw", "size", "doc_id")
-            .mapInArrow(_fly, STATE)
-        )
+        by_size = group.orderBy(F.desc("size"), "draw", "doc_id")
+        ranked = moving.withColumns({"__top": F.row_number().over(by_size), "__n": F.count("*").over(group)})
+        place = F.least(F.col("__top") * 2 - 1, (F.col("__n") - F.col("__top") + 1) * 2)
+        ordered = ranked.sortWithinPartitions("block", "source", place).drop("__top", "__n")
+        flown = ordered.mapInArrow(_fly, STATE)
         if deepest is None or deepest <= 1:
             return _decided(flown if settled is None else settled.unionByName(flown))
         flown = working_table(flown, "mix-flight")
