@@ -79,8 +79,12 @@ valid AS (
   FROM imp_topic),
 records AS (
   SELECT *, CASE WHEN seq % 97 = 0 THEN '{"bid_id":"broken"'
-                 WHEN seq % 89 = 0 THEN '{"timestamp":' || epoch || '}' ELSE good END AS value,
-         CASE WHEN seq % 97 = 0 THEN 'invalid_json' WHEN seq % 89 = 0 THEN 'missing_required' END AS reason
+                 WHEN seq % 89 = 0 THEN '{"timestamp":' || epoch || '}'
+                 WHEN seq % 83 = 0 THEN replace(good, '"timestamp":' || epoch, '"timestamp":' || epoch || '000000')
+                 WHEN seq % 79 = 0 THEN replace(good, '"timestamp":' || epoch, '"timestamp":9223372036854775807')
+                 ELSE good END AS value,
+         CASE WHEN seq % 97 = 0 THEN 'invalid_json' WHEN seq % 89 = 0 THEN 'missing_required'
+              WHEN seq % 83 = 0 OR seq % 79 = 0 THEN 'bad_timestamp' END AS reason
   FROM valid),
 accepted AS (SELECT *, date_trunc('second', ts) AS event_ts FROM records WHERE reason IS NULL),
 first_accepted AS (
@@ -106,6 +110,7 @@ accepted_billing AS (
 _LOG = """
 log AS (
   SELECT event_id, ts, user_id || '-' || json_extract_string(props, '$.k') AS bid_id,
+         CASE WHEN user_id % 2 = 0 THEN 'run-a' ELSE 'run-b' END AS run_id,
          CASE WHEN ts < TIMESTAMP '2024-01-09' THEN 'steady' WHEN ts < TIMESTAMP '2024-01-16' THEN 'burst1'
               WHEN ts < TIMESTAMP '2024-01-23' THEN 'burst2' ELSE 'recovery' END AS stage,
          CASE event_type WHEN 'view' THEN 'bid' WHEN 'click' THEN 'billing_matched'
@@ -118,7 +123,7 @@ log AS (
          k % 3 AS retries, event_type = 'click' AND k % 10 = 0 AS delayed
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)),
 counters AS (
-  SELECT stage, min(ts) AS started_at, max(ts) AS ended_at, count(*) AS attempts,
+  SELECT run_id, stage, min(ts) AS started_at, max(ts) AS ended_at, count(*) AS attempts,
          count(*) FILTER (WHERE NOT net AND status BETWEEN 200 AND 299) AS http_2xx,
          count(*) FILTER (WHERE NOT net AND status BETWEEN 400 AND 499) AS http_4xx,
          count(*) FILTER (WHERE NOT net AND status >= 500) AS http_5xx,
@@ -132,19 +137,20 @@ counters AS (
          count(*) FILTER (WHERE op <> 'bid' AND NOT net AND status BETWEEN 200 AND 299) AS billing_success_2xx,
          count(*) FILTER (WHERE op = 'billing_duplicate') AS duplicate_attempts,
          count(*) FILTER (WHERE op = 'billing_invalid') AS invalid_attempts
-  FROM log GROUP BY stage),
+  FROM log GROUP BY run_id, stage),
 points AS (
-  SELECT stage, ts FROM log WHERE NOT net AND status NOT BETWEEN 300 AND 399
-  UNION ALL SELECT stage, started_at FROM counters
-  UNION ALL SELECT stage, ended_at FROM counters),
+  SELECT run_id, stage, ts FROM log WHERE NOT net AND status NOT BETWEEN 300 AND 399
+  UNION ALL SELECT run_id, stage, started_at FROM counters
+  UNION ALL SELECT run_id, stage, ended_at FROM counters),
 gaps AS (
-  SELECT stage, max(gap) AS gap FROM (
-    SELECT stage, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY stage ORDER BY ts)) AS gap FROM points)
-  GROUP BY stage),
+  SELECT run_id, stage, max(gap) AS gap FROM (
+    SELECT run_id, stage, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY run_id, stage ORDER BY ts)) AS gap
+    FROM points)
+  GROUP BY run_id, stage),
 early AS (
-  SELECT count(*) AS attempts, count(*) FILTER (WHERE net OR status >= 400) AS errors
-  FROM log WHERE stage = 'recovery'
-    AND ts <= (SELECT min(ts) FROM log WHERE stage = 'recovery') + INTERVAL {seconds} SECOND)
+  SELECT l.run_id, count(*) AS attempts, count(*) FILTER (WHERE net OR status >= 400) AS errors
+  FROM log l JOIN counters c ON c.run_id = l.run_id AND c.stage = l.stage
+  WHERE l.stage = 'recovery' AND l.ts <= c.started_at + INTERVAL {seconds} SECOND GROUP BY 1)
 """
 
 _ORDERS = """
@@ -263,6 +269,14 @@ ORACLE["replay_scan"] = _with(
     'SELECT event_ts, request_id, bid_id, user_idfv, campaign_id, placement_id, epoch AS "timestamp" '
     f"FROM first_accepted WHERE kind = 'bid' AND event_ts >= TIMESTAMP '{HALFWAY}'",
 )
+ORACLE["replay_impressions"] = _with(
+    _BROKEN,
+    "SELECT event_ts, bid_id, '' AS campaign_id, '' AS user_idfv, epoch AS \"timestamp\" "
+    f"FROM first_accepted WHERE kind = 'impression' AND event_ts >= TIMESTAMP '{HALFWAY}'",
+)
+ORACLE["change_log_replay"] = _with(
+    _BROKEN, "SELECT seq, kind, bid_id, campaign_id, event_ts FROM first_accepted"
+)
 ORACLE["topic_sample"] = _with(
     _BROKEN,
     'SELECT topic, part AS "partition", seq AS "offset", good AS "value" FROM ('
@@ -300,7 +314,8 @@ ORACLE["bid_events"] = _with(
 _BILLING = (
     _BROKEN
     + """,
-billing AS (SELECT bid_id, seq, ts FROM records WHERE kind = 'impression' AND reason IS NULL)
+billing AS (SELECT bid_id, seq, ts FROM records
+            WHERE kind = 'impression' AND (reason IS NULL OR reason = 'bad_timestamp'))
 """
     + _HOPS
     + """,
@@ -310,7 +325,7 @@ outcomes AS (
   FROM billing b LEFT JOIN accepted_billing a ON a.bid_id = b.bid_id AND a.seq = b.seq
   UNION ALL
   SELECT seq, '', ts, CASE reason WHEN 'invalid_json' THEN 'malformed' ELSE 'missing_id' END
-  FROM records WHERE kind = 'impression' AND reason IS NOT NULL)
+  FROM records WHERE kind = 'impression' AND reason IN ('invalid_json', 'missing_required'))
 """
 )
 ORACLE["billing_outcomes"] = _with(_BILLING, "SELECT * FROM outcomes", recursive=True)
@@ -337,6 +352,21 @@ ORACLE["billing_suppression_24h"] = _with(
     "FROM billing b LEFT JOIN accepted_billing a ON a.bid_id = b.bid_id AND a.seq = b.seq",
     recursive=True,
 )
+ORACLE["billing_suppression_hot"] = ORACLE["billing_suppression_24h"]
+ORACLE["billing_suppression_ties"] = _with(
+    _TOPICS
+    + """,
+coarse AS (SELECT bid_id, seq % 2 AS seq, date_trunc('day', ts) AS ts FROM imp_topic),
+billing AS (SELECT *, row_number() OVER (PARTITION BY bid_id, ts, seq) AS copy FROM coarse)"""
+    + _HOPS.replace("SELECT bid_id, seq, ts, row_number() OVER (PARTITION BY bid_id ORDER BY ts, seq) AS rn",
+                    "SELECT bid_id, seq, ts, row_number() OVER (PARTITION BY bid_id ORDER BY ts, seq) AS rn, "
+                    "row_number() OVER (PARTITION BY bid_id, ts ORDER BY seq) AS first_at")
+           .replace("FROM billing),", "FROM billing),", 1)
+           .replace("n.ts = a.next_ts)", "n.ts = a.next_ts AND n.first_at = 1)"),
+    "SELECT b.bid_id, b.ts AS arrival_ts, CAST(b.seq AS BIGINT) AS seq, a.seq IS NOT NULL AND b.copy = 1 AS accepted "
+    "FROM billing b LEFT JOIN accepted_billing a ON a.bid_id = b.bid_id AND a.seq = b.seq AND a.ts = b.ts",
+    recursive=True,
+)
 ORACLE["stream_billing_suppression"] = _with(
     _SUPPRESSION, "SELECT bid_id, seq, ts AS arrival_ts FROM accepted_billing", recursive=True
 )
@@ -429,6 +459,13 @@ ORACLE["rollup_multires"] = _with(
         for r in ("second", "minute", "hour", "day")
     ),
 )
+ORACLE["retention_impressions"] = _with(
+    _FACTS, "SELECT seq, bid_id, ts AS event_ts FROM imps WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'"
+)
+ORACLE["counter_parse"] = """
+SELECT event_id, CASE WHEN regexp_matches(text, '^[+-]?[0-9]+$') THEN coalesce(TRY_CAST(text AS BIGINT), 0) ELSE 0 END AS counter
+FROM (SELECT event_id, CASE event_id % 5 WHEN 0 THEN json_extract_string(props, '$.k') WHEN 1 THEN event_type
+                                         WHEN 2 THEN '-' || event_id WHEN 3 THEN '99999999999999999999' END AS text FROM events)"""
 ORACLE["retention_filter"] = _with(
     _FACTS,
     "SELECT seq, bid_id, campaign_id, ts AS event_ts FROM bids WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'",
@@ -458,6 +495,7 @@ ORACLE["summary_routed"] = _with(
 ORACLE["summary_mixed"] = _with(_DELTAS, _summary(*TEN_DAYS, "mixed", _between(*TEN_DAYS)))
 ORACLE["summary_mixed_compat"] = _with(_DELTAS, _summary(*TEN_DAYS, "mixed", _OVERLAP))
 ORACLE["by_campaign_mixed"] = _with(_DELTAS, _campaigns(_between(*TEN_DAYS)))
+ORACLE["timeseries_mixed_disjoint"] = _with(_DELTAS, _series("hour", *TEN_DAYS, _between(*TEN_DAYS)))
 ORACLE["timeseries_mixed"] = _with(_DELTAS, _series("hour", *TEN_DAYS, _OVERLAP))
 
 # ---- corrections --------------------------------------------------------
@@ -562,31 +600,31 @@ ORACLE["stage_counters"] = _with(
     f"SELECT *, (epoch_us(ended_at) - epoch_us(started_at)) // 1000 AS duration_ms, {_STAGE_RATES} FROM counters",
 )
 ORACLE["first_minute_error_rate"] = _with(
-    _LOG.format(seconds=86400),
-    "SELECT 'recovery' AS stage, attempts, errors, CASE WHEN attempts = 0 THEN CAST(0 AS DOUBLE) "
+    _MINUTE_LOG,
+    "SELECT run_id, 'recovery' AS stage, attempts, errors, CASE WHEN attempts = 0 THEN CAST(0 AS DOUBLE) "
     "ELSE CAST(errors AS DOUBLE) / attempts END AS first_minute_error_rate FROM early",
 )
 ORACLE["response_gaps"] = _with(
     _MINUTE_LOG,
-    "SELECT stage, gap // 1000 AS max_no_response_gap_ms, gap > 10000000 AS long_no_response_gt_10s FROM gaps",
+    "SELECT run_id, stage, gap // 1000 AS max_no_response_gap_ms, gap > 10000000 AS long_no_response_gt_10s FROM gaps",
 )
 ORACLE["burst_slo"] = _with(
     _MINUTE_LOG
     + f""",
-rates AS (SELECT c.stage, {_STAGE_RATES}, g.gap > 10000000 AS long_gap
-          FROM counters c JOIN gaps g ON g.stage = c.stage),
+rates AS (SELECT c.run_id, c.stage, {_STAGE_RATES}, g.gap > 10000000 AS long_gap
+          FROM counters c JOIN gaps g ON g.run_id = c.run_id AND g.stage = c.stage),
 answer AS (
-  SELECT max(CASE WHEN stage = 'burst1' THEN success_rate >= 0.98 AND network_error_rate < 0.01 AND NOT long_gap END)
+  SELECT run_id, max(CASE WHEN stage = 'burst1' THEN success_rate >= 0.98 AND network_error_rate < 0.01 AND NOT long_gap END)
            AS burst1_pass,
          max(CASE WHEN stage = 'burst2' THEN success_rate >= 0.98 AND network_error_rate < 0.01 AND NOT long_gap END)
            AS burst2_pass,
          max(CASE WHEN stage = 'steady' THEN error_rate END) AS steady_error_rate,
          max(CASE WHEN stage = 'recovery' THEN error_rate END) AS overall
-  FROM rates),
+  FROM rates GROUP BY run_id),
 with_recovery AS (
-  SELECT burst1_pass, burst2_pass, steady_error_rate,
+  SELECT answer.run_id, burst1_pass, burst2_pass, steady_error_rate,
          CASE WHEN errors = 0 THEN overall ELSE CAST(errors AS DOUBLE) / attempts END AS recovery_error_rate
-  FROM answer, early)
+  FROM answer JOIN early ON early.run_id = answer.run_id)
 """,
     "SELECT *, abs(recovery_error_rate - steady_error_rate) <= 0.005 AS recovery_pass, "
     "burst1_pass AND burst2_pass AND abs(recovery_error_rate - steady_error_rate) <= 0.005 AS burst_slo_met "
@@ -597,7 +635,7 @@ ORACLE["load_totals"] = _with(
     _MINUTE_LOG
     + f""",
 totals AS (
-  SELECT count(*) AS attempts, count(*) FILTER (WHERE op = 'bid') AS bid_attempts,
+  SELECT run_id, count(*) AS attempts, count(*) FILTER (WHERE op = 'bid') AS bid_attempts,
          count(*) FILTER (WHERE op = 'bid' AND status = 200) AS bid_success,
          count(*) FILTER (WHERE op <> 'bid') AS billing_attempts_total,
          count(*) FILTER (WHERE op <> 'bid' AND {_OK}) AS billing_success_2xx,
@@ -611,7 +649,7 @@ totals AS (
          count(DISTINCT bid_id) FILTER (WHERE op = 'billing_matched' AND {_OK}) AS matched_unique,
          count(DISTINCT bid_id) FILTER (WHERE op = 'billing_unknown' AND {_OK}) AS unknown_unique,
          (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000 AS duration_ms
-  FROM log)
+  FROM log GROUP BY run_id)
 """,
     "SELECT *, bid_success >= 15000 AND matched_unique >= 12000 AND unknown_unique >= 1000 "
     "AND duplicate_attempts >= 1000 AND nofill_count >= 1000 AND invalid_attempts >= 200 AS targets_met FROM totals",

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adtally.functions.times import minute_key, spine
+from adtally.functions.rates import counter
+from adtally.functions.times import minute_key, spine_of
 from adtally.operators import attribution, decode, dedup, lifecycle, reconcile, requests, runlog
 from adtally.operators.suppression import suppress_repeats
 from adtally.plans import metrics, rollup
@@ -116,10 +117,10 @@ def _serving(events: DataFrame, overlap: bool = False, cutoff: datetime = CUTOFF
     return Serving(rows, rollup.minute_campaign(rows), cutoff, rollup.minute_global(rows), overlap)
 
 
-def _halfway_seq(events: DataFrame) -> int:
-    """The last change that arrived before the halfway instant."""
+def _halfway_seq(events: DataFrame):
+    """The last change that arrived before the halfway instant, as a scalar subquery."""
     rows = tables.changes(events).where(F.col("arrival_ts") < F.lit(HALFWAY))
-    return rows.agg(F.max("seq")).first()[0]
+    return rows.agg(F.max("seq")).scalar()
 
 
 # ---- sources and sinks --------------------------------------------------
@@ -159,6 +160,16 @@ def replay_scan(spark, events):
     return fact_tables.replay_scan(facts_bids(spark, events), HALFWAY, BID)
 
 
+@query
+def replay_impressions(spark, events):
+    return fact_tables.replay_scan(facts_impressions(spark, events), HALFWAY, IMPRESSION)
+
+
+@query
+def change_log_replay(spark, events):
+    return decode.changes_from_log(change_log(spark, events))
+
+
 @query
 def topic_sample(spark, events):
     return topics.topic_sample(tables.records(events), [BID_TOPIC, IMPRESSION_TOPIC], 100)
@@ -236,6 +247,21 @@ def billing_suppression_24h(spark, events):
     return suppress_repeats(rows, ts="arrival_ts")
 
 
+@query
+def billing_suppression_ties(spark, events):
+    """Times cut to the day and places to two numbers: many rows are equal in both."""
+    rows = tables.changes(events, IMPRESSION)
+    return suppress_repeats(
+        rows.withColumns({"arrival_ts": F.date_trunc("day", "arrival_ts"), "seq": F.col("seq") % 2}), ts="arrival_ts"
+    )
+
+
+@query
+def billing_suppression_hot(spark, events):
+    """Every key with more than one row takes the path of large keys."""
+    return suppress_repeats(tables.changes(events, IMPRESSION), ts="arrival_ts", hot_rows=1)
+
+
 # ---- attribution --------------------------------------------------------
 
 
@@ -311,10 +337,8 @@ def timeseries_day(spark, events):
 
 @query
 def series_spine(spark, events):
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    return spine(
-        spark, first.replace(tzinfo=timezone.utc), last.replace(tzinfo=timezone.utc), "minute"
-    )
+    times = F.col("ts").cast("timestamp")
+    return spine_of(events.agg(F.min(times).alias("first"), F.max(times).alias("last")), "minute")
 
 
 @query
@@ -395,6 +419,24 @@ def retention_filter(spark, events):
     return fact_tables.retained(_bids(events), NOW)
 
 
+@query
+def retention_impressions(spark, events):
+    return fact_tables.retained(_impressions(events), NOW)
+
+
+@query
+def counter_parse(spark, events):
+    """Stored counters as numbers, among texts that are none and one too large."""
+    which = F.col("event_id") % 5
+    text = (
+        F.when(which == 0, F.get_json_object("props", "$.k"))
+        .when(which == 1, F.col("event_type"))
+        .when(which == 2, F.concat(F.lit("-"), F.col("event_id").cast("string")))
+        .when(which == 3, F.lit("99999999999999999999"))
+    )
+    return events.select("event_id", counter(text).alias("counter"))
+
+
 # ---- routed and mixed queries -------------------------------------------
 
 
@@ -425,6 +467,11 @@ def by_campaign_mixed(spark, events):
     return _serving(events).by_campaign(*TEN_DAYS)
 
 
+@query
+def timeseries_mixed_disjoint(spark, events):
+    return _serving(events).series(*TEN_DAYS, "hour")
+
+
 @query
 def timeseries_mixed(spark, events):
     return _serving(events, overlap=True).series(*TEN_DAYS, "hour")
@@ -513,8 +560,7 @@ def stage_counters(spark, events):
 
 @query
 def first_minute_error_rate(spark, events):
-    """The test run is spread over a month, so the first day stands for the first minute."""
-    return runlog.first_minute_error_rate(tables.request_log(events), seconds=86400)
+    return runlog.first_minute_error_rate(tables.request_log(events))
 
 
 @query

@@ -28,11 +28,19 @@ _RFC3339 = re.compile(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:
 # ---- column expressions -------------------------------------------------
 
 
+# The years 1 and 9999, between which every reader can hold a timestamp.
+FIRST_EPOCH, LAST_EPOCH = -62135596800, 253402300799
+
+
+def is_storable(epoch_seconds: Column) -> Column:
+    """Whether an epoch is a time; milli-, micro- and nanoseconds taken for seconds are not."""
+    return F.coalesce(epoch_seconds.between(FIRST_EPOCH, LAST_EPOCH), F.lit(True))
+
+
 def event_time(epoch_seconds: Column, arrival_ts: Column) -> Column:
-    """Epoch seconds to a timestamp; 0 or missing means the arrival time."""
-    return F.when(F.coalesce(epoch_seconds, F.lit(0)) == 0, arrival_ts).otherwise(
-        F.timestamp_seconds(epoch_seconds)
-    )
+    """Epoch seconds to a timestamp; 0 or missing means the arrival time, one that is no time is NULL."""
+    seconds = F.when(is_storable(epoch_seconds), epoch_seconds)
+    return F.when(F.coalesce(epoch_seconds, F.lit(0)) == 0, arrival_ts).otherwise(F.timestamp_seconds(seconds))
 
 
 def bucket(ts: Column, resolution: str) -> Column:
@@ -112,6 +120,20 @@ def preset_range(name: str, now: datetime) -> tuple[datetime, datetime]:
 # ---- spine --------------------------------------------------------------
 
 
+def spine_of(bounds: DataFrame, resolution: str) -> DataFrame:
+    """Every bucket from the one of ``first`` up to ``last``, from a relation of one row with these two columns.
+
+    Days are made first and then spread, so no driver job and no array of all buckets is needed.
+    """
+    width = F.expr(f"INTERVAL {WIDTH_SECONDS[resolution]} SECONDS")
+    day = F.expr("INTERVAL 1 DAY")
+    days = bounds.where("first <= last").select(
+        "first", "last", F.explode(F.sequence(F.date_trunc("day", "first"), F.date_trunc("day", "last"), day)).alias("day")
+    )
+    buckets = days.repartition("day").select("first", "last", F.explode(F.sequence("day", F.col("day") + day - width, width)).alias("ts"))
+    return buckets.where((F.col("ts") >= F.date_trunc(resolution, "first")) & (F.col("ts") < F.col("last"))).select("ts")
+
+
 def spine(spark: SparkSession, start: datetime, end: datetime, resolution: str) -> DataFrame:
     """Every bucket of ``[floor(start), ceil(end))`` as column ``ts``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally.functions import json_fields as J
-from adtally.functions.times import event_time
+from adtally.functions.times import event_time, is_storable
 from adtally.schemas import (
     BID,
     BID_EVENT,
@@ -20,6 +20,7 @@ from adtally.schemas import (
 
 INVALID_JSON = "invalid_json"
 MISSING_REQUIRED = "missing_required"
+BAD_TIMESTAMP = "bad_timestamp"
 
 
 def _kind(topic: Column) -> Column:
@@ -56,7 +57,9 @@ def decode(records: DataFrame) -> DataFrame:
     return (
         rows.withColumn(
             "reason",
-            F.when(F.col("invalid"), F.lit(INVALID_JSON)).when(missing, F.lit(MISSING_REQUIRED)),
+            F.when(F.col("invalid"), F.lit(INVALID_JSON))
+            .when(missing, F.lit(MISSING_REQUIRED))
+            .when(~is_storable(F.col("timestamp")), F.lit(BAD_TIMESTAMP)),
         )
         .withColumn("event_ts", event_time(F.col("timestamp"), F.col("arrival_ts")))
         .drop("invalid")

@@ -76,7 +76,12 @@ def _no_fill() -> Column:
 
 def named_stages(log: DataFrame) -> DataFrame:
     stage = F.coalesce(F.col("stage"), F.lit(""))
-    return log.withColumn("stage", F.when(stage == "", F.lit("default")).otherwise(stage))
+    return log.withColumns(
+        {
+            "run_id": F.coalesce("run_id", F.lit("")),
+            "stage": F.when(stage == "", F.lit("default")).otherwise(stage),
+        }
+    )
 
 
 def stage_rank() -> Column:
@@ -87,11 +92,11 @@ def stage_rank() -> Column:
 
 
 def stage_counters(log: DataFrame) -> DataFrame:
-    """Counters, rates and duration per stage, in report order."""
+    """Counters, rates and duration per run and stage, in report order."""
     billing = F.col("op").isin(BILLING)
     counted = (
         named_stages(log)
-        .groupBy("stage")
+        .groupBy("run_id", "stage")
         .agg(
             F.min("ts").alias("started_at"),
             F.max("ts").alias("ended_at"),
@@ -119,19 +124,26 @@ def stage_counters(log: DataFrame) -> DataFrame:
         .withColumn("success_rate", ratio(F.col("http_2xx"), F.col("attempts")))
         .withColumn("error_rate", ratio(errors, F.col("attempts")))
         .withColumn("network_error_rate", ratio(F.col("network_errors"), F.col("attempts")))
-        .orderBy(stage_rank(), "stage")
+        .orderBy("run_id", stage_rank(), "stage")
     )
 
 
 def first_minute_error_rate(log: DataFrame, stage: str = "recovery", seconds: int = 60) -> DataFrame:
-    """Error rate of a stage's requests up to ``seconds`` after its start, 0 when none.
+    """Error rate per run of a stage's requests up to ``seconds`` after its start, 0 when none.
 
-    The start is a scalar subquery, so the log is filtered, not windowed or joined.
+    The starts are one row for each run; the log joins them and is not windowed.
     """
-    rows = named_stages(log).where(F.col("stage") == stage)
-    start = rows.agg(F.min("ts")).scalar()
-    early = rows.where(F.col("ts") <= start + F.expr(f"INTERVAL {int(seconds)} SECONDS"))
-    return early.agg(F.count("*").alias("attempts"), F.count_if(_error()).alias("errors")).select(
+    rows = named_stages(log)
+    here = F.col("stage") == stage
+    starts = rows.groupBy(F.col("run_id").alias("_run")).agg(F.min(F.when(here, F.col("ts"))).alias("_start"))
+    early = here & (F.col("ts") <= F.col("_start") + F.expr(f"INTERVAL {int(seconds)} SECONDS"))
+    counted = (
+        rows.join(starts, F.col("run_id") == F.col("_run"))
+        .groupBy("run_id")
+        .agg(F.count_if(early).alias("attempts"), F.count_if(early & _error()).alias("errors"))
+    )
+    return counted.select(
+        "run_id",
         F.lit(stage).alias("stage"),
         "attempts",
         "errors",
@@ -140,7 +152,7 @@ def first_minute_error_rate(log: DataFrame, stage: str = "recovery", seconds: in
 
 
 def response_gaps(log: DataFrame) -> DataFrame:
-    """The longest time without a response per stage, stage ends included.
+    """The longest time without a response per run and stage, stage ends included.
 
     Requests are reduced to the first and last response per millisecond. A gap of a
     millisecond or more always lies between two such buckets, so nothing that shows
@@ -157,6 +169,7 @@ def response_gaps(log: DataFrame) -> DataFrame:
     base = (
         named_stages(log)
         .select(
+            "run_id",
             "stage",
             start_of(3_600_000_000).alias("hour"),
             start_of(1_000_000).alias("second"),
@@ -164,7 +177,7 @@ def response_gaps(log: DataFrame) -> DataFrame:
             micros.alias("at"),
             F.when(_responded(), micros).alias("answered"),
         )
-        .groupBy("stage", "hour", "second", "milli")
+        .groupBy("run_id", "stage", "hour", "second", "milli")
         .agg(
             F.min("at").alias("first"),
             F.max("at").alias("last"),
@@ -191,14 +204,15 @@ def response_gaps(log: DataFrame) -> DataFrame:
             )
         )
 
-    seconds = merge(base, ["stage", "hour", "second"], "milli")
-    hours = merge(seconds, ["stage", "hour"], "second")
-    stages = merge(hours, ["stage"], "hour")
+    seconds = merge(base, ["run_id", "stage", "hour", "second"], "milli")
+    hours = merge(seconds, ["run_id", "stage", "hour"], "second")
+    stages = merge(hours, ["run_id", "stage"], "hour")
     silent = F.col("low").isNull()
     gap = F.when(silent, F.col("last") - F.col("first")).otherwise(
         F.greatest("gap", F.col("low") - F.col("first"), F.col("last") - F.col("high"))
     )
     return stages.select(
+        "run_id",
         "stage",
         F.floor(gap / 1000).alias("max_no_response_gap_ms"),
         (gap > LONG_GAP_MICROS).alias("long_no_response_gt_10s"),
@@ -206,23 +220,19 @@ def response_gaps(log: DataFrame) -> DataFrame:
 
 
 def stage_report(log: DataFrame) -> DataFrame:
-    """The full stage table: counters, rates, gaps; one row per stage."""
+    """The full stage table: counters, rates, gaps; one row per run and stage."""
+    early = first_minute_error_rate(log).select("run_id", "stage", "first_minute_error_rate")
     return (
         stage_counters(log)
-        .join(response_gaps(log), "stage")
-        .withColumn(
-            "first_minute_error_rate",
-            F.when(
-                F.col("stage") == "recovery",
-                first_minute_error_rate(log).select("first_minute_error_rate").scalar(),
-            ).otherwise(F.lit(0.0)),
-        )
-        .orderBy(stage_rank(), "stage")
+        .join(response_gaps(log), ["run_id", "stage"])
+        .join(early, ["run_id", "stage"], "left")
+        .withColumn("first_minute_error_rate", F.coalesce("first_minute_error_rate", F.lit(0.0)))
+        .orderBy("run_id", stage_rank(), "stage")
     )
 
 
 def burst_slo(report: DataFrame) -> DataFrame:
-    """One row from a stage table: do the bursts and the recovery meet their levels?
+    """One row per run from a stage table: do the bursts and the recovery meet their levels?
 
     A recovery first-minute rate of 0 falls back to the stage's overall error rate.
     """
@@ -240,7 +250,8 @@ def burst_slo(report: DataFrame) -> DataFrame:
     early = of("recovery", "first_minute_error_rate")
     recovery_error = F.when(early == 0, of("recovery", "error_rate")).otherwise(early)
     return (
-        report.agg(
+        report.groupBy("run_id")
+        .agg(
             burst("burst1").alias("burst1_pass"),
             burst("burst2").alias("burst2_pass"),
             of("steady", "error_rate").alias("steady_error_rate"),
@@ -257,7 +268,7 @@ def burst_slo(report: DataFrame) -> DataFrame:
 
 
 def load_totals(log: DataFrame, targets: dict[str, int] | None = None) -> DataFrame:
-    """Run totals and whether every target is reached; one row.
+    """Totals and whether every target is reached; one row per run.
 
     Unique ids are counted by reducing to one row per bid id first, so two distinct
     counts and all other totals share one shuffle that combines on the map side.
@@ -290,7 +301,8 @@ def load_totals(log: DataFrame, targets: dict[str, int] | None = None) -> DataFr
     def seen(op: str) -> Column:
         return F.max(F.when((F.col("op") == op) & _ok() & has_id, 1).otherwise(0))
 
-    per_id = log.groupBy("bid_id").agg(
+    run = F.coalesce("run_id", F.lit("")).alias("run_id")
+    per_id = log.groupBy(run, "bid_id").agg(
         *[value.alias(name) for name, value in sums.items()],
         seen(MATCHED).alias("matched_unique"),
         seen(UNKNOWN).alias("unknown_unique"),
@@ -298,7 +310,7 @@ def load_totals(log: DataFrame, targets: dict[str, int] | None = None) -> DataFr
         F.max("ts").alias("ended_at"),
     )
     names = [*sums, "matched_unique", "unknown_unique"]
-    totals = per_id.agg(
+    totals = per_id.groupBy("run_id").agg(
         *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in names],
         F.min("started_at").alias("started_at"),
         F.max("ended_at").alias("ended_at"),
@@ -307,6 +319,7 @@ def load_totals(log: DataFrame, targets: dict[str, int] | None = None) -> DataFr
     for name, least in targets.items():
         met = met & (F.col(name) >= least)
     return totals.select(
+        "run_id",
         *names,
         F.floor((F.unix_micros("ended_at") - F.unix_micros("started_at")) / 1000).alias("duration_ms"),
         met.alias("targets_met"),

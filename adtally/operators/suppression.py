@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtally.session import cut_lineage, working_dir
@@ -20,10 +20,6 @@ DAY = timedelta(hours=24)
 #: Keys with at most this many rows are folded as one sorted array.
 HOT_ROWS = 4096
 
-#: With more rows the array limit grows so that hot keys stay below this number,
-#: which bounds what is broadcast when they are split off.
-MAX_HOT_KEYS = 1_000_000
-
 
 def suppress_repeats(
     events: DataFrame,
@@ -35,39 +31,49 @@ def suppress_repeats(
 ) -> DataFrame:
     """``(key, ts, order, accepted)`` for every input row. Ties in ``ts`` go by ``order``.
 
-    Runs one small job first: the row count of the largest key decides whether any
-    key needs the hot path.
+    Of rows equal in all three exactly one can be accepted. Runs one small job first: the row count of
+    the largest key decides whether any key needs the hot path. The limit is fixed, so no array grows with the data.
     """
     events = events.select(key, ts, order)
     per_key = events.groupBy(key).agg(F.count("*").alias("rows"))
-    total, largest = per_key.agg(F.sum("rows"), F.max("rows")).first()
-    limit = max(hot_rows, (total or 0) // MAX_HOT_KEYS)
-    if (largest or 0) <= limit:
+    largest = per_key.agg(F.max("rows")).first()[0]
+    if (largest or 0) <= hot_rows:
         return _fold(events, key, ts, order, window)
 
-    hot_keys = F.broadcast(cut_lineage(per_key.where(F.col("rows") > limit).select(key)))
+    # written, so its size is known: it is broadcast if that is small, and joined by key if not
+    hot_keys = cut_lineage(per_key.where(F.col("rows") > hot_rows).select(key))
     cold = _fold(events.join(hot_keys, key, "left_anti"), key, ts, order, window)
     hot = _by_cell(events.join(hot_keys, key, "left_semi"), key, ts, order, window)
     return cold.unionByName(hot)
 
 
 def _fold(events: DataFrame, key: str, ts: str, order: str, window: timedelta) -> DataFrame:
-    """One bounded array per key, folded left to right by native expressions."""
+    """One bounded array per key, folded left to right by native expressions.
+
+    Accepted rows are known by their places in the array, not by value, so equal rows stay apart.
+    """
     gap = F.lit(window)
 
-    def step(kept, row):
-        blocked = (F.size(kept) > 0) & (row[ts] < F.try_element_at(kept, F.lit(-1))[ts] + gap)
-        return F.when(blocked, kept).otherwise(F.concat(kept, F.array(row)))
+    def step(held, row):
+        blocked = F.coalesce(row[ts] < held["last"] + gap, F.lit(False))
+        return F.struct(
+            (held["place"] + 1).alias("place"),
+            F.when(blocked, held["last"]).otherwise(row[ts]).alias("last"),
+            F.when(blocked, held["kept"]).otherwise(F.concat(held["kept"], F.array(held["place"]))).alias("kept"),
+        )
 
     sorted_rows = F.sort_array(F.collect_list(F.struct(ts, order)))
     grouped = events.groupBy(key).agg(sorted_rows.alias("_rows"))
-    none_yet = F.filter("_rows", lambda row: F.lit(False))
-    kept = grouped.withColumn("_kept", F.aggregate("_rows", none_yet, step))
-    return kept.select(key, "_kept", F.explode("_rows").alias("_row")).select(
+    kind = events.schema[ts].dataType
+    begin = F.struct(
+        F.lit(0).alias("place"), F.lit(None).cast(kind).alias("last"), F.array().cast("array<int>").alias("kept")
+    )
+    kept = grouped.withColumn("_kept", F.aggregate("_rows", begin, step)["kept"])
+    return kept.select(key, "_kept", F.posexplode("_rows").alias("_place", "_row")).select(
         key,
         F.col(f"_row.{ts}").alias(ts),
         F.col(f"_row.{order}").alias(order),
-        F.array_contains("_kept", F.col("_row")).alias("accepted"),
+        F.array_contains("_kept", F.col("_place")).alias("accepted"),
     )
 
 
@@ -93,15 +99,18 @@ def _by_cell(events: DataFrame, key: str, ts: str, order: str, window: timedelta
         here = rows.where(F.col("_cell") == number)
         if previous is not None and previous_cell == number - 1:
             free = F.col("_last").isNull() | (F.col(ts) >= F.col("_last") + F.lit(window))
-            here = here.join(F.broadcast(previous), key, "left").where(free)
+            here = here.join(previous, key, "left").where(free)
         first = here.groupBy(key).agg(F.min(F.struct(ts, order)).alias("_first"))
         step = f"{kept}/_cell={number}"
         first.select(key, f"_first.{ts}", f"_first.{order}").write.parquet(step)
         previous = spark.read.parquet(step).select(key, F.col(ts).alias("_last"))
         previous_cell = number
 
-    accepted = spark.read.parquet(kept).select(key, order, F.lit(True).alias("accepted"))
-    # (key, order) names a row; the key alone would send all its rows to one task.
-    return rows.join(accepted, [key, order], "left").select(
-        key, ts, order, F.coalesce("accepted", F.lit(False)).alias("accepted")
+    accepted = spark.read.parquet(kept).select(key, ts, order, F.lit(True).alias("accepted"))
+    # (key, ts, order) names a row up to equal ones, of which the first counts; the key alone would send all its rows
+    # to one task.
+    equal = Window.partitionBy(key, ts, order).orderBy(order)
+    numbered = rows.withColumn("_copy", F.row_number().over(equal))
+    return numbered.join(accepted, [key, ts, order], "left").select(
+        key, ts, order, (F.coalesce("accepted", F.lit(False)) & (F.col("_copy") == 1)).alias("accepted")
     )

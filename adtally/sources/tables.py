@@ -114,11 +114,19 @@ def records(rows: DataFrame, broken: bool = False, kind: str | None = None) -> D
     """The two topics as JSON records. ``broken`` damages some of the values."""
     is_bid = F.col("kind") == BID
     epoch = F.unix_seconds("event_ts").alias("timestamp")
+    sent = epoch
+    if broken:  # microseconds taken for seconds, and the largest number of 64 bits
+        sent = (
+            F.when(F.col("seq") % 83 == 0, epoch * 1_000_000)
+            .when(F.col("seq") % 79 == 0, F.lit((1 << 63) - 1))
+            .otherwise(epoch)
+            .alias("timestamp")
+        )
     bid_value = F.to_json(
-        F.struct("request_id", "bid_id", "user_idfv", "campaign_id", "placement_id", epoch)
+        F.struct("request_id", "bid_id", "user_idfv", "campaign_id", "placement_id", sent)
     )
     impression_value = F.to_json(
-        F.struct("bid_id", F.lit("").alias("campaign_id"), F.lit("").alias("user_idfv"), epoch)
+        F.struct("bid_id", F.lit("").alias("campaign_id"), F.lit("").alias("user_idfv"), sent)
     )
     value = F.when(is_bid, bid_value).otherwise(impression_value)
     if broken:
@@ -207,7 +215,7 @@ def request_log(rows: DataFrame) -> DataFrame:
         .otherwise(F.lit(200))
     )
     return rows.select(
-        F.lit("run").alias("run_id"),
+        F.when(F.col("user_id") % 2 == 0, F.lit("run-a")).otherwise(F.lit("run-b")).alias("run_id"),
         stage.alias("stage"),
         op.alias("op"),
         ts.alias("ts"),

@@ -27,6 +27,11 @@ STRICT = [
     ('{"bid_id":"a","campaign_id":"c","timestamp":1.5}', "invalid_json"),
     ('{"bid_id":"a","campaign_id":"c","timestamp":1e3}', "invalid_json"),
     ('{"bid_id":"a","campaign_id":"c","timestamp":9223372036854775808}', "invalid_json"),
+    ('{"bid_id":"a","campaign_id":"c","timestamp":1700000000000}', "bad_timestamp"),
+    ('{"bid_id":"a","campaign_id":"c","timestamp":1700000000000000}', "bad_timestamp"),
+    ('{"bid_id":"a","campaign_id":"c","timestamp":-9223372036854775808}', "bad_timestamp"),
+    ('{"bid_id":"a","campaign_id":"c","timestamp":9223372036854775807}', "bad_timestamp"),
+    ('{"bid_id":"a","campaign_id":"c","timestamp":253402300799}', None),
     ('{"bid_id":"a","campaign_id":"c","request_id":1}', "invalid_json"),
     ('{"bid_id":"a","campaign_id":"c"} x', "invalid_json"),
     ('{"bid_id":"a","campaign_id":"c"}{"bid_id":"b","campaign_id":"c"}', "invalid_json"),
@@ -74,8 +79,11 @@ def test_unexpected_topic_fails(spark):
 
 
 def test_every_record_is_accepted_or_quarantined(spark):
+    """All columns are computed, so a conversion that throws would show."""
     decoded = decode.decode(records(spark, [v for v, _ in STRICT]))
-    assert decode.accepted(decoded).count() + decode.quarantine(decoded).count() == len(STRICT)
+    taken = decode.changes(decoded).collect()
+    assert len(taken) + len(decode.quarantine(decoded).collect()) == len(STRICT)
+    assert all(r.event_ts is not None for r in taken)
 
 
 def test_change_log_types(spark):

@@ -35,6 +35,17 @@ def test_counters_and_classes(spark):
     assert got["default"].invalid_attempts == 1
 
 
+def test_two_runs_stay_apart(spark):
+    one = [row(op="billing_matched", micros=m, bid="a") for m in (0, 2_000_000)]
+    one += [row("recovery", micros=0), row("recovery", micros=1, status=500)]
+    two = [("s", *r[1:3], r[3] + timedelta(days=1), *r[4:]) for r in one]
+    both, alone = log(spark, one + two), log(spark, one)
+    for report in (runlog.stage_counters, runlog.response_gaps, runlog.first_minute_error_rate, runlog.load_totals):
+        got = [r for r in report(both).collect() if r.run_id == "r"]
+        assert sorted(map(str, got)) == sorted(map(str, report(alone).collect()))
+    assert len(runlog.burst_slo(runlog.stage_report(both)).collect()) == 2
+
+
 def test_stage_order(spark):
     names = ["zeta", "recovery", "steady", "alpha", "burst2", "burst1"]
     stages = [r.stage for r in runlog.stage_counters(log(spark, [row(stage=n) for n in names])).collect()]
@@ -81,7 +92,7 @@ def test_gap_sorts_never_see_a_whole_stage(spark):
 
 
 REPORT = (
-    "stage STRING, success_rate DOUBLE, error_rate DOUBLE, network_error_rate DOUBLE, "
+    "run_id STRING, stage STRING, success_rate DOUBLE, error_rate DOUBLE, network_error_rate DOUBLE, "
     "first_minute_error_rate DOUBLE, long_no_response_gt_10s BOOLEAN"
 )
 
@@ -100,16 +111,16 @@ REPORT = (
 )
 def test_service_levels(spark, success, network, long_gap, early, overall, met):
     rows = [
-        ("steady", 0.99, 0.01, 0.0, 0.0, False),
-        ("burst1", 0.99, 0.01, 0.0, 0.0, False),
-        ("burst2", success, 0.01, network, 0.0, long_gap),
-        ("recovery", 0.99, overall, 0.0, early, False),
+        ("r", "steady", 0.99, 0.01, 0.0, 0.0, False),
+        ("r", "burst1", 0.99, 0.01, 0.0, 0.0, False),
+        ("r", "burst2", success, 0.01, network, 0.0, long_gap),
+        ("r", "recovery", 0.99, overall, 0.0, early, False),
     ]
     assert runlog.burst_slo(spark.createDataFrame(rows, REPORT)).first().burst_slo_met is met
 
 
 def test_missing_burst_fails(spark):
-    rows = [("steady", 0.99, 0.01, 0.0, 0.0, False)]
+    rows = [("r", "steady", 0.99, 0.01, 0.0, 0.0, False)]
     assert runlog.burst_slo(spark.createDataFrame(rows, REPORT)).first().burst_slo_met is False
 
 

@@ -38,6 +38,13 @@ def test_golden_hours(spark, hot_rows):
     assert accepted(df) == {0, 3, 6, 100}
 
 
+@pytest.mark.parametrize("hot_rows", [4096, 1])
+def test_equal_rows_are_accepted_once(spark, hot_rows):
+    rows = [("a", 1, 0)] * 3 + [("a", 2, 0), ("a", 5, 24 * 60), ("a", 5, 24 * 60), ("b", 1, 0)]
+    got = suppress_repeats(frame(spark, rows), hot_rows=hot_rows).where("accepted").collect()
+    assert sorted((r.bid_id, r.seq) for r in got) == [("a", 1), ("a", 5), ("b", 1)]
+
+
 def test_empty(spark):
     assert suppress_repeats(frame(spark, [])).count() == 0
 
