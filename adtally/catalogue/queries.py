@@ -21,7 +21,7 @@ from adtally.sources import facts as fact_tables
 from adtally.sources import results, tables, topics
 from adtally.streaming import projector
 from adtally.streaming import store as S
-from adtally.streaming.windows import suppress_stream
+from adtally.streaming.windows import accepted_so_far, suppress_into
 
 
 def _utc(*parts: int) -> datetime:
@@ -37,6 +37,7 @@ CUTOFF = _utc(2024, 1, 16, 6, 6, 59, 900000)
 NOW = _utc(2024, 2, 10)
 HALFWAY = _utc(2024, 1, 16)
 ORDER_YEARS = (_utc(1995, 1, 1), _utc(2002, 1, 1))
+BATCH_EDGES = (_utc(2024, 1, 11), _utc(2024, 1, 21))
 WAIT = timedelta(hours=24)
 MAX_BID_AGE = timedelta(days=31)
 
@@ -639,19 +640,16 @@ def stream_minute_campaign(spark, sf_dir):
     return _projected(spark, sf_dir).minute_campaign()
 
 
-def _append_to_end(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    path = working_dir(spark, name)
-    (
-        rows.writeStream.format("parquet")
-        .option("checkpointLocation", working_dir(spark, f"{name}-state"))
-        .trigger(availableNow=True)
-        .start(path)
-        .awaitTermination()
-    )
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 @table_query
 def stream_billing_suppression(spark, sf_dir):
-    rows = tables.changes(_event_stream(_streaming(spark), sf_dir), IMPRESSION)
-    return _append_to_end(spark, suppress_stream(rows), "billing")
+    """In several micro-batches: the events are dealt into files by arrival first, and a trigger takes one."""
+    events = tables.events(spark, sf_dir)
+    source = working_dir(spark, "billing-in")
+    for start, end in zip((None, *BATCH_EDGES), (*BATCH_EDGES, None)):
+        part = events if start is None else events.where(F.col("ts") >= F.lit(start.replace(tzinfo=None)))
+        part = part if end is None else part.where(F.col("ts") < F.lit(end.replace(tzinfo=None)))
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = topics.file_stream(spark, source, tables.EVENTS, files_per_trigger=1)
+    root = working_dir(spark, "billing")
+    suppress_into(tables.changes(stream, IMPRESSION), root, working_dir(spark, "billing-state")).awaitTermination()
+    return accepted_so_far(spark, root).select("bid_id", "seq", "arrival_ts")

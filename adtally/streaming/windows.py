@@ -2,58 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import timedelta
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
+from adtally.operators.suppression import suppress_repeats
 from adtally.schemas import UNKNOWN
 
-_PICKED = "bid_id STRING, seq BIGINT, micros BIGINT"
-_LAST = "last_micros BIGINT"
+ACCEPTED = "bid_id STRING, seq BIGINT, arrival_ts TIMESTAMP, accepted_date DATE, batch BIGINT"
+DAY = timedelta(hours=24)
 
 
-def accept_once_per(window: timedelta = timedelta(hours=24)):
-    """The state function of :func:`suppress_stream`."""
-    width = window // timedelta(microseconds=1)
+def accepted_so_far(spark: SparkSession, root: str) -> DataFrame:
+    """What :func:`suppress_into` has accepted."""
+    return spark.read.schema(ACCEPTED).parquet(root)
 
-    def accept(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # A micro-batch's rows of one key, as two integer arrays: the trigger bounds them.
-        pieces = [(c["micros"].to_numpy(), c["seq"].to_numpy()) for c in chunks]
-        micros, seqs = pieces[0] if len(pieces) == 1 else map(np.concatenate, zip(*pieces))
-        if len(micros) > 1:
-            order = np.lexsort((seqs, micros))
-            micros, seqs = micros[order], seqs[order]
-        position = int(np.searchsorted(micros, state.get[0] + width)) if state.exists else 0
-        picked = []
-        # One step per accepted event, not per row: the next one is found by search.
-        while position < len(micros):
-            picked.append(position)
-            position = int(np.searchsorted(micros, micros[position] + width))
-        if picked:
-            state.update((int(micros[picked[-1]]),))
-            yield pd.DataFrame({"bid_id": key[0], "seq": seqs[picked], "micros": micros[picked]})
 
-    return accept
+def suppress_into(
+    billing: DataFrame, root: str, checkpoint: str, window: timedelta = DAY, trigger: dict | None = None
+) -> StreamingQuery:
+    """Accepted billing requests of a stream of ``bid_id, seq, arrival_ts``, as a table at ``root``.
 
-
-def suppress_stream(billing: DataFrame, window: timedelta = timedelta(hours=24)) -> DataFrame:
-    """Accepted billing requests of a stream of ``bid_id, seq, arrival_ts``.
-
-    The one operator whose rule built-in streaming aggregates cannot express: what
-    is accepted depends on what was accepted before.
+    A micro-batch is judged by the batch rule, after what an event accepted earlier still blocks has left. So the
+    only state is the table itself, of which the last ``window`` is read: it is partitioned by date, and older
+    dates are not opened. A batch that runs again replaces its own partitions.
     """
-    return (
-        billing.select("bid_id", "seq", F.unix_micros("arrival_ts").alias("micros"))
-        .groupBy("bid_id")
-        .applyInPandasWithState(
-            accept_once_per(window), _PICKED, _LAST, "append", GroupStateTimeout.NoTimeout
+    spark = billing.sparkSession
+    spark.createDataFrame([], ACCEPTED).write.mode("append").parquet(root)
+
+    def judge(rows: DataFrame, number: int) -> None:
+        own = rows.sparkSession
+        first = rows.agg(F.min("arrival_ts")).first()[0]
+        if first is None:
+            return
+        since = first - window
+        earlier = accepted_so_far(own, root).where(
+            (F.col("accepted_date") >= F.lit(since.date()) - F.expr("INTERVAL 1 DAY"))
+            & (F.col("arrival_ts") > F.lit(since)) & (F.col("batch") < number)
         )
-        .select("bid_id", "seq", F.timestamp_micros("micros").alias("arrival_ts"))
+        last = earlier.groupBy(F.col("bid_id").alias("_id")).agg(F.max("arrival_ts").alias("_last"))
+        fresh = rows.select("bid_id", "seq", "arrival_ts").join(last, F.col("bid_id") == F.col("_id"), "left")
+        free = fresh.where(F.col("_last").isNull() | (F.col("arrival_ts") >= F.col("_last") + F.lit(window)))
+        picked = suppress_repeats(free, "bid_id", "arrival_ts", "seq", window).where("accepted")
+        (
+            picked.select("bid_id", "seq", "arrival_ts", F.to_date("arrival_ts").alias("accepted_date"), F.lit(number).alias("batch"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("accepted_date", "batch")
+            .parquet(root)
+        )
+
+    return (
+        billing.select("bid_id", "seq", "arrival_ts")
+        .writeStream.foreachBatch(judge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
     )
 
 
