@@ -28,7 +28,6 @@ STREAMING_CONF = {
 
 #: Shuffled bytes per reduce task; AQE merges tasks that turn out smaller.
 BYTES_PER_TASK = 128 * 1024 * 1024
-MAX_SHUFFLE_TASKS = 100_000
 
 
 def shuffle_conf(shuffled_bytes: int) -> dict[str, str]:
@@ -36,7 +35,7 @@ def shuffle_conf(shuffled_bytes: int) -> dict[str, str]:
 
     The default of 200 tasks would give each 500 GB of a 100 TB shuffle.
     """
-    tasks = min(max(200, -(-shuffled_bytes // BYTES_PER_TASK)), MAX_SHUFFLE_TASKS)
+    tasks = max(200, -(-shuffled_bytes // BYTES_PER_TASK))
     return {
         "spark.sql.shuffle.partitions": str(tasks),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(BYTES_PER_TASK),
@@ -50,13 +49,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build(app: str = "adtally", master: str | None = None, conf: dict | None = None) -> SparkSession:
+def build(
+    app: str = "adtally", master: str | None = None, conf: dict | None = None, shuffled_bytes: int | None = None
+) -> SparkSession:
+    """A session for this engine; ``shuffled_bytes``, about what its jobs shuffle, sets the shuffle width."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     # Recording a Python stack per expression costs more than planning the query.
     builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
-    for key, value in {**RUNTIME_CONF, **STREAMING_CONF, **(conf or {})}.items():
+    width = {} if shuffled_bytes is None else shuffle_conf(shuffled_bytes)
+    for key, value in {**RUNTIME_CONF, **STREAMING_CONF, **width, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -2,13 +2,13 @@ from types import SimpleNamespace
 
 import pytest
 
-from adtally.session import MAX_SHUFFLE_TASKS, cut_lineage, shared_root, shuffle_conf, working_dir
+from adtally.session import cut_lineage, shared_root, shuffle_conf, working_dir
 
 
 def test_shuffle_width():
     assert shuffle_conf(0)["spark.sql.shuffle.partitions"] == "200"
     assert shuffle_conf(10**12)["spark.sql.shuffle.partitions"] == "7451"
-    assert shuffle_conf(10**18)["spark.sql.shuffle.partitions"] == str(MAX_SHUFFLE_TASKS)
+    assert shuffle_conf(10**18)["spark.sql.shuffle.partitions"] == str(-(-(10**18) // (128 << 20)))
 
 
 def session_with(folder, master="spark://host:7077"):
