@@ -301,6 +301,12 @@ _CREATIVE = "CASE WHEN campaign_id IS NULL THEN NULL ELSE 'https://example.com/c
 ORACLE["select_campaign"] = _with(
     _TOPICS, f"SELECT seq, user_idfv, campaign_id, {_CREATIVE} AS creative_url FROM requests"
 )
+ORACLE["bid_requests_decoded"] = _with(
+    _TOPICS,
+    "SELECT seq, CASE WHEN bad THEN '' ELSE user_idfv END AS user_idfv, CASE WHEN bad THEN '' ELSE placement_id END "
+    "AS placement_id, CASE WHEN bad THEN 'malformed' WHEN campaign_id IS NULL THEN 'no_fill' ELSE 'filled' END AS outcome "
+    "FROM (SELECT *, seq % 97 = 0 OR seq % 89 = 0 AS bad FROM requests)",
+)
 ORACLE["nofill_counts"] = _with(
     _TOPICS, "SELECT count(campaign_id) AS filled, count(*) - count(campaign_id) AS no_fill FROM requests"
 )

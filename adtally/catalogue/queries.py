@@ -203,6 +203,14 @@ def select_campaign(spark, events):
     )
 
 
+@query
+def bid_requests_decoded(spark, events):
+    decoded = requests.decode_requests(tables.request_bodies(events))
+    filled = requests.campaign_for(F.col("user_idfv")).isNotNull()
+    outcome = F.when(F.col("malformed"), F.lit("malformed")).when(filled, F.lit("filled")).otherwise(F.lit("no_fill"))
+    return decoded.select("seq", "user_idfv", "placement_id", outcome.alias("outcome"))
+
+
 @query
 def nofill_counts(spark, events):
     return requests.fill_counts(tables.requests(events))

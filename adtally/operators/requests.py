@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adtally.functions import json_fields as J
 from adtally.operators.suppression import suppress_repeats
 from adtally.schemas import (
+    BID_REQUEST,
     BILLING_REQUEST,
     CAMPAIGN_RULES,
     CREATIVE_URLS,
@@ -37,6 +38,27 @@ def select_campaign(requests: DataFrame) -> DataFrame:
     )
 
 
+def decode_requests(bodies: DataFrame) -> DataFrame:
+    """Bodies in ``value`` to ``user_idfv``, ``app_bundle``, ``placement_id`` and ``malformed``.
+
+    A malformed body has empty fields; its request is answered with an error and gets no campaign.
+    """
+    value, odd = F.col("value"), F.col("_odd")
+    strict_failure = J.is_no_object(value, odd, only=False) | J.has_wrong_type(
+        odd, J.text_fields(BID_REQUEST), only=False
+    )
+    rows = (
+        bodies.withColumn("_usual", J.encoder_form(value, BID_REQUEST))
+        .withColumns({"_doc": F.from_json(value, BID_REQUEST), "_odd": F.when(~F.col("_usual"), J.parse(value, only=False))})
+        .withColumn("_malformed", F.when(F.col("_usual"), F.lit(False)).otherwise(strict_failure))
+    )
+    fields = {
+        name: F.when(F.col("_malformed"), F.lit("")).otherwise(J.value_of(F.col("_doc"), BID_REQUEST[name]))
+        for name in ("user_idfv", "app_bundle", "placement_id")
+    }
+    return J.unpack(rows, **fields, malformed=F.col("_malformed"))
+
+
 def fill_counts(requests: DataFrame) -> DataFrame:
     """How many requests were filled and how many were not."""
     return select_campaign(requests).agg(

@@ -64,28 +64,6 @@ RECORD = T.StructType(
     ]
 )
 
-BID_FACT = T.StructType(
-    [
-        T.StructField("bid_id", T.StringType()),
-        T.StructField("request_id", T.StringType()),
-        T.StructField("campaign_id", T.StringType()),
-        T.StructField("user_idfv", T.StringType()),
-        T.StructField("placement_id", T.StringType()),
-        T.StructField("event_ts", T.TimestampType()),
-        T.StructField("raw_json", T.StringType()),
-        T.StructField("ingested_at", T.TimestampType()),
-    ]
-)
-
-IMPRESSION_FACT = T.StructType(
-    [
-        T.StructField("bid_id", T.StringType()),
-        T.StructField("event_ts", T.TimestampType()),
-        T.StructField("raw_json", T.StringType()),
-        T.StructField("ingested_at", T.TimestampType()),
-    ]
-)
-
 # Event types of the change log.
 BID_SEEN = "bid_seen"
 IMPRESSION_SEEN = "impression_seen"

@@ -81,6 +81,16 @@ def requests(rows: DataFrame) -> DataFrame:
     )
 
 
+def request_bodies(rows: DataFrame) -> DataFrame:
+    """Bid requests as JSON bodies, some of them cut off and some with a number for a name."""
+    epoch = F.unix_seconds("arrival_ts").alias("timestamp")
+    app = F.lit("app").alias("app_bundle")
+    value = F.to_json(F.struct("user_idfv", app, "placement_id", epoch))
+    number = F.to_json(F.struct(F.col("seq").alias("user_idfv"), app, "placement_id", epoch))
+    damaged = F.when(F.col("seq") % 97 == 0, F.lit('{"user_idfv":"broken"')).when(F.col("seq") % 89 == 0, number)
+    return requests(rows).select("seq", damaged.otherwise(value).alias("value"))
+
+
 def changes(rows: DataFrame, kind: str | None = None) -> DataFrame:
     """Valid topic records in arrival order: what the per-bid fold reads.
 
