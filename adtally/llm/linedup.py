@@ -151,8 +151,9 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> D
     )
     kept_columns = [c for c in docs.columns if not (counts and c in ("n_lines", "n_deleted"))]
     keyed = docs.select(*kept_columns, F.col("doc_id").cast("long").alias("__doc"), F.xxhash64("text").alias("__text_hash"))
+    # always shuffled: a broadcast where the deletions happen to be few would only hide what a larger corpus needs
     joined = keyed.join(
-        found, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__version")), "left"
+        found.hint("merge"), F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__version")), "left"
     )
 
     def rest(lines: Column) -> Column:
