@@ -433,6 +433,12 @@ ORACLE["minute_campaign"] = _with(_DELTAS, _MINUTES.format(rows="deltas"))
 ORACLE["stream_minute_campaign"] = ORACLE["minute_campaign"]
 ORACLE["lifetime_global"] = _with(_DELTAS, f"SELECT {_SUMS} FROM deltas")
 ORACLE["lifetime_campaign"] = _with(_LEDGER, f"SELECT campaign_id, {_SUMS} FROM ledger GROUP BY 1")
+ORACLE["lifetime_from_store"] = _with(
+    _DELTAS, f"SELECT campaign_id, {_SUMS} FROM deltas GROUP BY 1"
+)
+ORACLE["stream_retention"] = _with(
+    _DELTAS, _MINUTES.format(rows=f"(SELECT * FROM deltas WHERE ts >= TIMESTAMP '{HALFWAY}')")
+)
 ORACLE["campaign_registry"] = _with(_LEDGER, "SELECT DISTINCT campaign_id FROM ledger ORDER BY 1")
 ORACLE["summary_rollup"] = _with(_DELTAS, _summary(*UNALIGNED, "rollup", _between(*ALIGNED)))
 ORACLE["by_campaign_rollup"] = _with(_DELTAS, _campaigns(_between(*ALIGNED)))

@@ -616,7 +616,14 @@ def orders_series_day(spark, sf_dir):
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.file_stream(spark, sf_dir, tables.EVENTS, only="events.parquet")
+    """The events in three micro-batches: dealt into files by arrival, of which a trigger takes one."""
+    events = tables.events(spark, sf_dir)
+    source = working_dir(spark, "events-in")
+    for start, end in zip((None, *BATCH_EDGES), (*BATCH_EDGES, None)):
+        part = events if start is None else events.where(F.col("ts") >= F.lit(start.replace(tzinfo=None)))
+        part = part if end is None else part.where(F.col("ts") < F.lit(end.replace(tzinfo=None)))
+        part.coalesce(1).write.mode("append").parquet(source)
+    return topics.file_stream(spark, source, tables.EVENTS, files_per_trigger=1)
 
 
 def _streaming(spark: SparkSession) -> SparkSession:
@@ -633,7 +640,7 @@ def _projected(spark: SparkSession, sf_dir: str) -> S.BatchStore:
     own = _streaming(spark)
     changes = tables.changes(_event_stream(own, sf_dir))
     store = projector.run_to_end(
-        changes, working_dir(spark, "projection"), working_dir(spark, "projection-state")
+        changes, working_dir(spark, "projection"), working_dir(spark, "projection-state"), compact_every=2
     )
     return S.BatchStore(spark, store.root)
 
@@ -648,16 +655,25 @@ def stream_minute_campaign(spark, sf_dir):
     return _projected(spark, sf_dir).minute_campaign()
 
 
+@table_query
+def stream_retention(spark, sf_dir):
+    """The served minutes after those before the horizon have expired."""
+    store = _projected(spark, sf_dir)
+    store.compact(HALFWAY)
+    return store.minute_campaign()
+
+
+@table_query
+def lifetime_from_store(spark, sf_dir):
+    """Totals for all time, from a store whose older minutes have expired."""
+    store = _projected(spark, sf_dir)
+    store.compact(HALFWAY)
+    return store.lifetime_campaign()
+
+
 @table_query
 def stream_billing_suppression(spark, sf_dir):
-    """In several micro-batches: the events are dealt into files by arrival first, and a trigger takes one."""
-    events = tables.events(spark, sf_dir)
-    source = working_dir(spark, "billing-in")
-    for start, end in zip((None, *BATCH_EDGES), (*BATCH_EDGES, None)):
-        part = events if start is None else events.where(F.col("ts") >= F.lit(start.replace(tzinfo=None)))
-        part = part if end is None else part.where(F.col("ts") < F.lit(end.replace(tzinfo=None)))
-        part.coalesce(1).write.mode("append").parquet(source)
-    stream = topics.file_stream(spark, source, tables.EVENTS, files_per_trigger=1)
+    stream = _event_stream(spark, sf_dir)
     root = working_dir(spark, "billing")
     suppress_into(tables.changes(stream, IMPRESSION), root, working_dir(spark, "billing-state")).awaitTermination()
     return accepted_so_far(spark, root).select("bid_id", "seq", "arrival_ts")

@@ -9,6 +9,8 @@ Layout below ``root``: ``<table>/batch_id=N`` and ``compacted/upto=N``.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ IMPRESSION_FACTS = "impressions"
 CHANGE_LOG = "change_log"
 PROGRESS = "progress"
 COMPACTED = "compacted"
+#: What expired minutes add to the totals for all time, by the version that dropped them.
+EXPIRED = "expired"
 #: A batch's folded ids, kept only while the batch is being written.
 TOUCHED = "touched"
 
@@ -34,6 +38,7 @@ SCHEMAS = {
     ),
     MINUTES: f"campaign_id STRING, minute_ts TIMESTAMP, {_COUNTER_DDL}",
     COMPACTED: f"campaign_id STRING, minute_ts TIMESTAMP, {_COUNTER_DDL}",
+    EXPIRED: f"campaign_id STRING, {_COUNTER_DDL}",
     BID_FACTS: (
         "bid_id STRING, request_id STRING, campaign_id STRING, user_idfv STRING, placement_id STRING, "
         f"event_ts TIMESTAMP, {_FACT_TAIL}"
@@ -106,18 +111,36 @@ class BatchStore:
             rows = rows.unionByName(compacted)
         return rows.groupBy("campaign_id", "minute_ts").agg(*sums()).where(any_count())
 
-    def compact(self) -> int:
-        """Fold all complete minute batches into a new version.
+    def _expired(self, upto: int) -> DataFrame:
+        path, files = self._files(f"{self.root}/{EXPIRED}/upto={upto}/_SUCCESS")
+        if not files.exists(path):
+            return self.spark.createDataFrame([], SCHEMAS[EXPIRED])
+        return self.spark.read.schema(SCHEMAS[EXPIRED]).parquet(f"{self.root}/{EXPIRED}/upto={upto}")
+
+    def compact(self, horizon: datetime | None = None) -> int:
+        """Fold all complete minute batches into a new version, without minutes before ``horizon``.
 
         The new version goes to its own directory and counts from the moment its
-        success marker is there; readers before that use the old one.
+        success marker is there; readers before that use the old one. What expires is
+        added up per campaign first, beside the version, so lifetime totals stay whole.
         """
-        upto = self.last_complete()
-        if upto > self.compacted_upto():
-            rows = self.minute_campaign().repartitionByRange("minute_ts").sortWithinPartitions("minute_ts")
+        upto, before = self.last_complete(), self.compacted_upto()
+        if upto > before:
+            rows, gone = self.minute_campaign(), self._expired(before)
+            if horizon is not None:
+                old = F.col("minute_ts") < F.lit(horizon)
+                gone = gone.unionByName(rows.where(old).drop("minute_ts")).groupBy("campaign_id").agg(*sums())
+                rows = rows.where(~old)
+            gone.write.mode("overwrite").parquet(f"{self.root}/{EXPIRED}/upto={upto}")
+            rows = rows.repartitionByRange("minute_ts").sortWithinPartitions("minute_ts")
             rows.write.mode("overwrite").parquet(f"{self.root}/{COMPACTED}/upto={upto}")
         return self.compacted_upto()
 
+    def lifetime_campaign(self) -> DataFrame:
+        """Totals per campaign for all time: what has expired, and the minutes that have not."""
+        kept = self.minute_campaign().drop("minute_ts")
+        return kept.unionByName(self._expired(self.compacted_upto())).groupBy("campaign_id").agg(*sums())
+
     def vacuum(self) -> int:
         """Delete minute batches and versions that the version before the last replaced.
 
@@ -127,11 +150,11 @@ class BatchStore:
         if len(versions) < 2:
             return 0
         old = [(MINUTES, "batch_id", n) for n in self._committed(MINUTES, "batch_id") if n <= versions[-2]]
-        old += [(COMPACTED, "upto", n) for n in versions[:-2]]
+        old += [(table, "upto", n) for n in versions[:-2] for table in (COMPACTED, EXPIRED)]
         for table, key, number in old:
             path, files = self._files(f"{self.root}/{table}/{key}={number}")
             files.delete(path, True)
-        return len(old)
+        return sum(table != EXPIRED for table, _, _ in old)
 
     def freshness(self) -> DataFrame:
         """When the last projected batch was written."""
