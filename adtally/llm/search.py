@@ -8,10 +8,12 @@ of words, A-Z lowered), and their postings with term frequencies. A shard that i
 and for each term and block of BLOCK documents the largest one. A query is the distinct words of a text. Its terms' idf come from global counts, so every shard
 scores as one index of all documents would, and the shards' best k merge exactly.
 
-Per shard and query, terms are taken by idf. A block's bound is the sum of idf times block maximum. Blocks are
-visited from the greatest bound on, a batch at a time, and scored in full; once k documents are found and the
-next bound is below the k-th score, all other blocks are skipped. Bounds and scores are sums in the same
-order of terms with the bound raised by EPSILON, so rounding never skips a document of equal score.
+Per shard and query, a block's bound is the sum of idf times block maximum. Blocks are visited from the greatest
+bound on, a batch at a time; once k documents are found and the next bound is below the k-th score, all other
+blocks are skipped. Where a query has so many rare terms that looking them up block by block would cost more than
+reading their postings, the shard is scored in one pass instead. Terms that many of a shard's documents have are
+rows of a matrix, and their part of bounds and scores is one product for a group of queries. Bounds are
+raised by EPSILON, so rounding never skips a document of equal score.
 
 Queries are taken in blocks of about QUERY_TERMS terms (or one query), each broadcast. Index rows stay where they
 are; per shard and query only the best k leave, and of these the best k of a task.
@@ -43,8 +45,13 @@ BLOCK = 64
 SHARD_WORDS = 3_000_000
 #: Terms of the queries that are broadcast at a time, some 30 bytes each.
 QUERY_TERMS = 1_000_000
-#: Blocks scored at a time.
+#: Blocks scored at a time, and queries whose common terms are.
 BATCH = 32
+GROUP = 64
+#: A term is common if more than one in so many of a shard's documents has it.
+COMMON = 16
+#: Looking a term up in a block costs as much as reading so many postings.
+LOOKUP = 40
 EPSILON = 1e-9
 DIGITS = 9
 
@@ -123,67 +130,80 @@ class Shard:
         self.blocks = block[at]
         self.block_weights = np.maximum.reduceat(self.weights, at) if len(at) else np.zeros(0)
         self.block_begins = np.searchsorted(at, self.begins)
-
-    def find(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the terms that the shard has, and which of the given they are."""
+        copies = np.diff(self.begins)
+        common = np.flatnonzero(copies * COMMON > self.n_docs)
+        self.row = np.full(len(self.terms), -1, dtype=np.int64)
+        self.row[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), self.n_blocks * BLOCK))
+        places, owner = _spans(self.begins[common], self.begins[common + 1])
+        self.matrix[owner, self.docs[places]] = self.weights[places]
+        self.most = self.matrix.reshape(len(common), self.n_blocks, BLOCK).max(axis=2, initial=0.0)
+        self._keys = None
+
+    def places(self, terms: np.ndarray) -> np.ndarray:
+        """The place of each term in the shard, -1 where it has none."""
         if not len(self.terms):
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+            return np.full(len(terms), -1, dtype=np.int64)
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        there = np.flatnonzero(self.terms[at] == terms)
-        return at[there], there
-
-    def top(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The best k documents of the shard for a query, by block-max WAND: (numbers, scores)."""
-        at, there = self.find(terms)
-        if not len(at):
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        idf = idf[there]
-        spans, owner = _spans(self.block_begins[at], self.block_begins[at + 1])
-        bound = np.bincount(self.blocks[spans], weights=self.block_weights[spans] * idf[owner], minlength=self.n_blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[: np.count_nonzero(bound)]
-        docs, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
-        least = -1.0
+        return np.where(self.terms[at] == terms, at, -1)
+
+    def top(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The best k documents (numbers, scores) of each query, given as (places of its terms, their idf)."""
+        for begin in range(0, len(queries), GROUP):
+            group = [(at[at >= 0], idf[at >= 0]) for at, idf in queries[begin : begin + GROUP]]
+            common = np.zeros((len(group), len(self.matrix)))
+            for q, (at, idf) in enumerate(group):
+                row = self.row[at]
+                common[q, row[row >= 0]] = idf[row >= 0]
+            scores, bounds = common @ self.matrix, common @ self.most
+            for q, (at, idf) in enumerate(group):
+                rare = self.row[at] < 0
+                yield self._best(at[rare], idf[rare], scores[q], bounds[q], k)
+
+    def _best(self, at: np.ndarray, idf: np.ndarray, scores: np.ndarray, bounds: np.ndarray, k: int):
+        postings = self.begins[at + 1] - self.begins[at]
+        if postings.sum() <= LOOKUP * len(at) * BATCH:
+            places, owner = _spans(self.begins[at], self.begins[at + 1])
+            scores = scores + np.bincount(self.docs[places], weights=self.weights[places] * idf[owner], minlength=len(scores))
+            return self._kept(np.flatnonzero(scores), scores, k)
+        places, owner = _spans(self.block_begins[at], self.block_begins[at + 1])
+        bounds = bounds + np.bincount(
+            self.blocks[places], weights=self.block_weights[places] * idf[owner], minlength=self.n_blocks
+        )
+        order = np.argsort(-bounds, kind="stable")[: np.count_nonzero(bounds)]
+        docs, values, least = np.zeros(0, dtype=np.int64), np.zeros(0), -1.0
         for begin in range(0, len(order), BATCH):
             part = order[begin : begin + BATCH]
-            part = part[bound[part] + EPSILON >= least]
+            part = np.sort(part[bounds[part] + EPSILON >= least])
             if not len(part):
                 break
-            found, values = self._scores(np.sort(part), at, idf)
-            docs, scores = np.concatenate([docs, found]), np.concatenate([scores, values])
-            if len(docs) > k:
-                keep = _best(scores, self.known[docs], self.doc_ids[docs], k)
-                docs, scores = docs[keep], scores[keep]
+            numbers = (part[:, None] * BLOCK + np.arange(BLOCK)[None, :]).ravel()
+            found = np.zeros(len(scores))
+            found[numbers] = scores[numbers]
+            self._add_rare(found, part, at, idf)
+            numbers = numbers[found[numbers] > 0]
+            docs, values = np.concatenate([docs, numbers]), np.concatenate([values, found[numbers]])
+            keep = _order(values, self.known[docs], self.doc_ids[docs], k)
+            docs, values = docs[keep], values[keep]
             if len(docs) == k:
-                least = float(scores.min())
-        return docs, scores
-
-    def _scores(self, blocks: np.ndarray, at: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Full scores of the documents of some blocks that share a term with the query."""
-        if len(blocks) * 4 >= self.n_blocks:  # so many that all postings are as quick
-            spans, owner = _spans(self.begins[at], self.begins[at + 1])
-            docs = self.docs[spans]
-            score = np.bincount(docs, weights=self.weights[spans] * idf[owner], minlength=self.n_docs)
-            wanted = np.zeros(self.n_blocks, dtype=bool)
-            wanted[blocks] = True
-            hit = np.flatnonzero((score > 0) & wanted[np.arange(self.n_docs) // BLOCK])
-            return hit, score[hit]
-        # each term's postings in each block, by their places in the sorted list of (term, document)
-        keys = self._keys()
-        low = (at[:, None] * self._wide + blocks[None, :] * BLOCK).ravel()
-        begin = np.searchsorted(keys, low)
-        end = np.searchsorted(keys, low + BLOCK)
-        spans, owner = _spans(begin, end)
-        docs = self.docs[spans]
-        hit, local = np.unique(docs, return_inverse=True)
-        return hit, np.bincount(local, weights=self.weights[spans] * idf[owner // len(blocks)], minlength=len(hit))
-
-    def _keys(self) -> np.ndarray:
-        if not hasattr(self, "_sorted"):
-            self._wide = np.int64(self.n_blocks * BLOCK)
-            place = np.repeat(np.arange(len(self.terms), dtype=np.int64), np.diff(self.begins))
-            self._sorted = place * self._wide + self.docs
-        return self._sorted
+                least = float(values.min())
+        return docs, values
+
+    def _add_rare(self, scores: np.ndarray, blocks: np.ndarray, at: np.ndarray, idf: np.ndarray) -> None:
+        """Add the terms' weights in some blocks, found by their places in the sorted list of (term, document)."""
+        wide = np.int64(self.n_blocks * BLOCK)
+        if self._keys is None:
+            self._keys = np.repeat(np.arange(len(self.terms), dtype=np.int64), np.diff(self.begins)) * wide + self.docs
+        low = (at[:, None] * wide + blocks[None, :] * BLOCK).ravel()
+        places, owner = _spans(np.searchsorted(self._keys, low), np.searchsorted(self._keys, low + BLOCK))
+        np.add.at(scores, self.docs[places], self.weights[places] * idf[owner // len(blocks)])
+
+    def _kept(self, docs: np.ndarray, scores: np.ndarray, k: int):
+        if len(docs) > 4 * k:  # all that may tie with the k-th
+            least = np.partition(scores[docs], len(docs) - k)[len(docs) - k]
+            docs = docs[scores[docs] >= least - EPSILON]
+        keep = _order(scores[docs], self.known[docs], self.doc_ids[docs], k)
+        return docs[keep], scores[docs][keep]
 
 
 def _spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +213,7 @@ def _spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin, size), owner
 
 
-def _best(scores: np.ndarray, known: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+def _order(scores: np.ndarray, known: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, ~known, -np.round(scores, DIGITS)))[:k]
 
 
@@ -259,7 +279,8 @@ def _search_block(index: DataFrame, block: DataFrame, n_docs: int, mean_length:
     copies = np.zeros(len(terms))
     copies[pairs["place"].to_numpy(dtype=np.int64)] = pairs["copies"].to_numpy()
     idf = np.log1p((n_docs - copies + 0.5) / (copies + 0.5))
-    shared = spark.sparkContext.broadcast((terms, idf, queries))
+    placed = [(q, np.searchsorted(terms, own)) for q, own in queries]
+    shared = spark.sparkContext.broadcast((terms, idf, placed))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_terms, all_idf, asked = shared.value
@@ -268,8 +289,9 @@ def _search_block(index: DataFrame, block: DataFrame, n_docs: int, mean_length:
             for row in batch.to_pylist():
                 shard = Shard(row, mean_length)
                 found, answers = [], []
-                for query_id, own in asked:
-                    docs, scores = shard.top(own, all_idf[np.searchsorted(all_terms, own)], k)
+                there = shard.places(all_terms)
+                given = [(there[own], all_idf[own]) for _, own in asked]
+                for (query_id, _), (docs, scores) in zip(asked, shard.top(given, k), strict=True):
                     if len(docs):
                         found.append(query_id)
                         answers.append(

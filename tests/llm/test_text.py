@@ -168,7 +168,10 @@ def test_search(spark, edge, edge_rows, nothing, monkeypatch, shard_words):
     assert search.search(nothing, queries).collect() == [] and search.search(edge, queries.limit(0)).collect() == []
 
 
-def test_pruning_is_exact():
+@pytest.mark.parametrize("batch, lookup", [(1, 0), (8, 0), (32, 0), (32, 40)])
+def test_pruning_is_exact(monkeypatch, batch, lookup):
+    monkeypatch.setattr(search, "BATCH", batch)
+    monkeypatch.setattr(search, "LOOKUP", lookup)
     rng = np.random.default_rng(4)
     lengths = rng.integers(5, 60, 3000)
     hashes = [np.sort(rng.zipf(1.3, n).astype(np.uint64)) for n in lengths]
@@ -181,7 +184,7 @@ def test_pruning_is_exact():
         for t in at:
             span = slice(shard.begins[t], shard.begins[t + 1])
             score[shard.docs[span]] += shard.weights[span] * idf[t]
-        docs, scores = shard.top(shard.terms[at], idf[at], 5)
+        (docs, scores), = shard.top([(at, idf[at])], 5)
         want = np.lexsort((np.arange(3000), -np.round(score, 9)))[:5]
         want = want[score[want] > 0]
         got = docs[np.lexsort((docs, -np.round(scores, 9)))]
