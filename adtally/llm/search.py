@@ -42,7 +42,7 @@ K = 10
 #: Documents of a block, whose greatest weights the index keeps.
 BLOCK = 64
 #: Words of a shard, about; a longer document is a shard of its own.
-SHARD_WORDS = 3_000_000
+SHARD_WORDS = 2_000_000
 #: Terms of the queries that are broadcast at a time, some 30 bytes each.
 QUERY_TERMS = 1_000_000
 #: Blocks scored at a time, and queries whose common terms are.
@@ -286,8 +286,8 @@ def _search_block(index: DataFrame, block: DataFrame, n_docs: int, mean_length:
         all_terms, all_idf, asked = shared.value
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("score", pa.float64())]))
         for batch in batches:
-            for row in batch.to_pylist():
-                shard = Shard(row, mean_length)
+            for number in range(batch.num_rows):
+                shard = Shard(batch.slice(number, 1).to_pylist()[0], mean_length)
                 found, answers = [], []
                 there = shard.places(all_terms)
                 given = [(there[own], all_idf[own]) for _, own in asked]
