@@ -197,16 +197,15 @@ class Encoder:
         return b"".join(map(self.chunks.__getitem__, chunks))
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_HELD: list[Encoder] = []
 
 
 def _encoder(shared) -> Encoder:
-    """The worker's encoder; what it remembers lives as long as the worker."""
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(shared.value)
-    return _ENCODERS[key]
+    """The worker's encoder for this broadcast; what it remembers lives as long as the broadcast does here."""
+    vocabulary = shared.value
+    if not _HELD or _HELD[0].v is not vocabulary:
+        _HELD[:] = [Encoder(vocabulary)]
+    return _HELD[0]
 
 
 ENCODED = "doc_id long, ids binary"
