@@ -3,7 +3,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from tests_words import words
+from llm_words import words
 
 SMALL = "/root/testdata/sf0.001"
 

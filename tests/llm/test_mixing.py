@@ -5,6 +5,8 @@ import re
 
 import pytest
 
+from llm_fixtures import documents, edge, edge_rows, nothing, small  # noqa: F401
+
 from adtally.llm import mixing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

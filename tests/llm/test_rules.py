@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+from llm_fixtures import documents, edge, edge_rows, nothing, small  # noqa: F401
+
 from adtally.llm import rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

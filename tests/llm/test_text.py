@@ -10,6 +10,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from llm_fixtures import edge, edge_rows, nothing, small  # noqa: F401
+
 from adtally.llm import chat, html, linedup, search, toxicity
 from adtally.llm.queries import CONTROL_TEXT
 

@@ -12,6 +12,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from llm_fixtures import documents, edge, edge_rows, nothing, small  # noqa: F401
+
 from adtally.llm import binary, bpe
 
 SPEC = open(P.path("word_bpe_49k.json")).read()
