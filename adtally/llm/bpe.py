@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from adtally.llm.common import raw_texts, slices
 
 #: Distinct chunks, and distinct pre-tokens, whose ids a worker remembers.
-MEMO_CHUNKS = 500_000
-MEMO_PIECES = 400_000
+MEMO_CHUNKS = 150_000
+MEMO_PIECES = 350_000
 
 
 class PerfectHash:
@@ -230,16 +230,20 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
     return rows.mapInArrow(run, ENCODED)
 
 
+def texts_of(ids: list[bytes], tokens: dict[int, bytes]) -> list[bytes]:
+    """The bytes that packed ids stand for; an unknown id raises KeyError."""
+    token = tokens.__getitem__
+    return [b"".join(map(token, np.frombuffer(x, dtype="<u4").tolist())) for x in ids]
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """The bytes that the ids stand for, beside them; an unknown id raises KeyError."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary.tokens)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.__getitem__
         for batch in batches:
             for part in slices(batch, "ids"):
-                data = (np.frombuffer(x, dtype="<u4").tolist() for x in raw_texts(part["ids"]))
-                texts = [b"".join(map(token, ids)) for ids in data]
+                texts = texts_of(raw_texts(part["ids"]), shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["ids"], pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"]
                 )
@@ -249,7 +253,21 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded bytes, for each document; with_ids, the ids too."""
-    both = decode(encode(docs, vocabulary), vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _encoder(shared)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                ids = [coder.text(t.decode()) for t in raw_texts(part["text"])]
+                texts = texts_of(ids, coder.v.tokens)
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], pa.array(ids, pa.binary()), pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"]
+                )
+
+    # both ways in one worker: a second one beside it would hold its own copy of everything
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    both = rows.mapInArrow(run, DECODED)
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

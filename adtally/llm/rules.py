@@ -261,10 +261,9 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the base rule and the learned rules keep, with their own columns."""
     names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
     plain = docs.select(F.col("doc_id").cast("long").alias("__id"), *(F.col(c).alias(n) for c, n in names.items()))
-    marked = labels.select(F.col("doc_id").alias("__known")).distinct()
-    known = plain.join(marked, F.col("__id") == F.col("__known"), "left_semi")
-    statistics = with_statistics(known.select("__id", names["text"]), text=names["text"])
-    rules = learn(working_table(statistics.select(F.col("__id").alias("doc_id"), *BASE), "rules-known"), labels)
+    # labels join the statistics, a few numbers, and not the texts, which are read a second time instead of shuffled
+    statistics = with_statistics(plain.select("__id", names["text"]), text=names["text"])
+    rules = learn(working_table(statistics.select(F.col("__id").alias("doc_id"), *BASE), "rules-statistics"), labels)
     # a filter moves below columns by copying their expressions into itself, but not below a number of rows: without
     # this, the planner would multiply the statistics' expressions out
     scored = with_statistics(plain, text=names["text"]).withColumn("__row", F.monotonically_increasing_id())

@@ -59,6 +59,8 @@ def test_bpe_edges(edge, edge_rows, nothing, vocabulary, plain):
     got = sorted((r.doc_id or 0, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.round_trip(edge, vocabulary).collect())
     assert got == sorted((d or 0, *expected(plain, t)) for d, t, *_ in edge_rows)
     assert bpe.round_trip(nothing, vocabulary).collect() == []
+    two = bpe.decode(bpe.encode(edge, vocabulary), vocabulary).collect()
+    assert sorted(bytes(r.decoded) for r in two) == sorted((t or "").encode() for _, t, *_ in edge_rows)
 
 
 def test_bpe_documents(documents, vocabulary, plain):
