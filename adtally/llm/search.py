@@ -285,21 +285,29 @@ def _search_block(index: DataFrame, block: DataFrame, n_docs: int, mean_length:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_terms, all_idf, asked = shared.value
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("score", pa.float64())]))
+        best: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # the best k of the task's shards so far
         for batch in batches:
             for number in range(batch.num_rows):
                 shard = Shard(batch.slice(number, 1).to_pylist()[0], mean_length)
-                found, answers = [], []
                 there = shard.places(all_terms)
                 given = [(there[own], all_idf[own]) for _, own in asked]
                 for (query_id, _), (docs, scores) in zip(asked, shard.top(given, k), strict=True):
-                    if len(docs):
-                        found.append(query_id)
-                        answers.append(
-                            [
-                                {"doc_id": int(shard.doc_ids[d]) if shard.known[d] else None, "score": float(s)}
-                                for d, s in zip(docs.tolist(), scores.tolist(), strict=True)
-                            ]
-                        )
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(answers, kind)], ["query_id", "answers"])
+                    if not len(docs):
+                        continue
+                    found = (scores, shard.known[docs], shard.doc_ids[docs])
+                    if query_id in best:
+                        found = tuple(np.concatenate(pair) for pair in zip(best[query_id], found, strict=True))
+                        keep = _order(*found, k)
+                        found = tuple(x[keep] for x in found)
+                    best[query_id] = found
+        answers = [
+            [
+                {"doc_id": d if known else None, "score": score}
+                for score, known, d in zip(scores.tolist(), known_.tolist(), ids.tolist(), strict=True)
+            ]
+            for scores, known_, ids in best.values()
+        ]
+        if best:
+            yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int64()), pa.array(answers, kind)], ["query_id", "answers"])
 
     return index.mapInArrow(run, "query_id long, answers array<struct<doc_id:long,score:double>>")
