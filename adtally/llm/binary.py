@@ -17,12 +17,14 @@ at a time, replaces the file by an equal one.
 
 Nulls and edge cases: a null text is empty and gives a record with the end id alone; a null
 doc_id is kept, first in order. Repeated rows give repeated records; rows of one doc_id are
-ordered by their text. An empty table writes no shard. Other columns are not read.
+ordered by their text. An empty table writes no shard. Other columns are not read. Whether the
+string of an added token in a text is one id or text is the caller's choice (`added`).
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -89,7 +91,7 @@ def record_at(stream, index: np.ndarray, row: int) -> tuple[int | None, np.ndarr
 
 # --- encoding with the tokenizers library -------------------------------------------------
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
 class WordEncoder:
@@ -100,15 +102,26 @@ class WordEncoder:
     letter and a sign first; the library then encodes each distinct piece once, and a text is the
     concatenation. Pieces of letters alone need no splitting by pattern and take a copy of the
     tokenizer without that step. The constructor refuses a tokenizer that fails on a probe.
+
+    With `added` the string of an added token in a text is one id, as the library reads it unless
+    told otherwise; the library looks for it in the text as given, so the text is parted there
+    first. Without, it is text like any other.
     """
 
     PROBE = "Don't stop!! a.b, x-1 (Über) No. 5%% it's 'tis #tag*** end."
 
-    def __init__(self, spec: str, memo_pieces: int = MEMO_PIECES):
+    def __init__(self, spec: str, added: bool = False, memo_pieces: int = MEMO_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_str(spec)
+        tokens = self.library.get_added_tokens_decoder() if added else {}
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip or not t.special for t in tokens.values()):
+            raise ValueError("this tokenizer's added tokens are not found by their strings alone")
+        probe = self.PROBE + "".join(f"{t.content}A {t.content.upper()}b{t.content}" for t in tokens.values())
+        self.library.encode_special_tokens = not added
+        whole = self.library.encode(probe, add_special_tokens=False).ids
+        # From here on the library sees pieces between added tokens; lowering may have made one look like a token.
         self.library.encode_special_tokens = True
         self.letters = Tokenizer.from_str(spec)
         self.letters.encode_special_tokens = True
@@ -119,8 +132,10 @@ class WordEncoder:
         self.memo: dict[bytes, bytes] = {}
         self.memo_pieces = memo_pieces
         (self.mark,) = self.library.encode(MARK.decode(), add_special_tokens=False).ids
-        whole = self.library.encode(self.PROBE, add_special_tokens=False).ids
-        if self.pack(whole) != self.encode([self.PROBE.encode()])[0]:
+        self.added = {t.content.encode(): self.pack([i]) for i, t in tokens.items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")") if longest else None
+        if self.pack(whole) != self.encode([probe.encode()])[0]:
             raise ValueError("this tokenizer's ids of a text are not those of its pieces")
 
     def pack(self, ids: list[int]) -> bytes:
@@ -154,6 +169,13 @@ class WordEncoder:
                         begin = end + self.width
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        if self.cut is None:
+            return self._ordinary(texts)
+        parted = [self.cut.split(text) for text in texts]  # text, token, text, token, ..., text
+        between = iter(self._ordinary([text for parts in parted for text in parts[::2]]))
+        return [b"".join(self.added[x] if k % 2 else next(between) for k, x in enumerate(parts)) for parts in parted]
+
+    def _ordinary(self, texts: list[bytes]) -> list[bytes]:
         split = [pieces(text) for text in texts]
         unseen = set().union(*split) if split else set()
         fresh = [p for p in unseen if p not in self.memo]
@@ -178,12 +200,13 @@ def pieces(text: bytes) -> list[bytes]:
     return (np.insert(data, gaps, 32).tobytes() if len(gaps) else text).split()
 
 
-def encoder(spec: str) -> WordEncoder:
+def encoder(spec: str, added: bool = False) -> WordEncoder:
     """The worker's encoder of this tokenizer; its memo lives as long as the worker."""
-    if spec not in _ENCODERS:
+    key = spec, added
+    if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[spec] = WordEncoder(spec)
-    return _ENCODERS[spec]
+        _ENCODERS[key] = WordEncoder(spec, added)
+    return _ENCODERS[key]
 
 
 # --- writing and reading ------------------------------------------------------------------
@@ -196,9 +219,12 @@ def _open_root(root: str) -> tuple[fs.FileSystem, str]:
 SHARDS = "shard int, records long, ids long, bytes long"
 
 
-def write_records(docs: DataFrame, root: str, spec: str, end_id: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def write_records(
+    docs: DataFrame, root: str, spec: str, end_id: int, text: str = "text", doc_id: str = "doc_id", added: bool = False
+) -> DataFrame:
     """Encode and write all documents below root, a folder that driver and executors share.
 
+    With `added` the string of an added token (<|endoftext|>, say) is one id, the library's default.
     Returns the manifest, one row for each shard, itself written as root/manifest. The text is
     shuffled once, by ranges of doc_id; ids are made after the shuffle, so they never cross it.
     """
@@ -208,7 +234,7 @@ def write_records(docs: DataFrame, root: str, spec: str, end_id: int, text: str
     system.create_dir(path, recursive=True)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(spread.value)
+        coder = encoder(spread.value, added)
         system, folder = _open_root(root)
         shard = TaskContext.get().partitionId()
         name = f"{folder}/shard-{shard:06d}"

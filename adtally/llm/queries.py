@@ -64,7 +64,7 @@ def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_dir(spark, "records")
     with open(public_tokenizers.path("word_bpe_49k.json")) as file:
         spec = file.read()
-    binary.write_records(table(spark, sf_dir, "documents"), root, spec, END_ID)
+    binary.write_records(table(spark, sf_dir, "documents"), root, spec, END_ID, added=True)
     return binary.read_records(spark, root)
 
 
