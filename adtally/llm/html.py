@@ -7,11 +7,16 @@ the characters and LT of the tags in links, and LCb, Cb the same for the body, t
 
 so text raises it and links lower it. The sum of a node's child densities is greatest where many
 dense blocks are side by side: the article. The least density on the path from that node to the body
-is the threshold that other blocks must reach, if the page does not mark its article itself.
+is the threshold that other blocks must reach. If the page marks the article itself, the marked element
+takes that node's place, and elements marked like it stay whatever their density.
 
-Elements that can't be part of an article (navigation, page headers and footers, asides, forms, scripts,
-hidden ones, and those whose class, id or role says advert, notice, comment and the like) leave the tree
-before densities are computed.
+Elements that can't be part of an article (navigation, page headers and footers, asides, scripts, hidden
+ones) leave the tree before densities are computed. A class or id that says advert, notice, share and the
+like, and a form, are hints: blocks of one hint that are link-poor and a quarter as dense as the article
+they are in (or the page) clear it there if together they hold a tenth of its text, or half of it where the
+hint is of text by or for others (adverts, cookies, sidebars), which beside a marked article nothing clears.
+Link-rich blocks go in any case. Comments can be as dense and longer than an article; they go unless the
+page has no other text.
 
 Nulls and edge cases: null and empty pages, and pages without an article, give an empty text. Broken
 markup (unclosed or stray tags, cut-off pages) is read as browsers do: a new paragraph closes an open
@@ -55,11 +60,11 @@ SIBLINGS = {
     "body": ({"head"}, set()),
 }
 DROPPED = frozenset(
-    "aside button canvas datalist dialog embed fieldset footer form head iframe input label menu nav noscript object "
+    "aside button canvas datalist dialog embed footer head iframe input label menu nav noscript object "
     "script select style svg template textarea title".split()
 )
 ROLES = frozenset(
-    "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search tablist toolbar".split()
+    "alert alertdialog banner complementary contentinfo dialog menu menubar navigation search tablist toolbar".split()
 )
 HINTS = frozenset(
     "ad ads adbox adslot advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie "
@@ -68,36 +73,50 @@ HINTS = frozenset(
     "subscribe subscription toolbar widget".split()
 )
 COMMENT_HINTS = frozenset("comment comments replies reply".split())
+#: Elements that are a hint themselves.
+HINT_TAGS = frozenset("fieldset form".split())
+#: Hints of text by or for others, which may be as dense as an article's.
+FIRM_HINTS = frozenset(
+    "ad ads adbox adslot advert advertisement adverts advertising consent cookie cookies disqus footer gdpr masthead newsletter "
+    "promo promotion recommended sidebar signup sponsor sponsored subscribe subscription".split()
+)
+#: Of an article's text, the part that is much: one in so many characters.
+MUCH, FIRM_MUCH = 10, 2
+#: A block with a hint is dense from this part of the article's density on.
+DENSE = 4
 CONTAINERS = frozenset("article body center div main section td".split())
 
 _TOKEN = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "up", "parts", "noise", "main", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "up", "parts", "noise", "hints", "main", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, tag: str, up: Node | None, noise: bool = False, main: bool = False):
-        self.tag, self.up, self.noise, self.main = tag, up, noise, main
+    def __init__(self, tag: str, up: Node | None, noise: bool = False, main: bool = False, hints: frozenset[str] = frozenset()):
+        self.tag, self.up, self.noise, self.main, self.hints = tag, up, noise, main, hints
         self.parts: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _hinted(tag: str, attrs: dict[str, str]) -> bool:
-    """Whether an element's own attributes say it is no part of an article."""
+def _hidden(attrs: dict[str, str]) -> bool:
+    """Whether an element's own attributes say that it isn't shown, or plays another role than an article's."""
     if "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return True
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return True
-    if attrs.get("role", "").lower() in ROLES:
-        return True
-    named = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
-    if named == " ":
-        return False
-    words = set(_TOKEN.findall(named))
+    return attrs.get("role", "").lower() in ROLES
+
+
+def _hints(tag: str, attrs: dict[str, str]) -> frozenset[str]:
+    """Words of an element that hint at no part of an article."""
+    if tag in ("html", "body"):
+        return frozenset()
+    words = set(_TOKEN.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
     if tag in ("article", "main"):
-        return bool(words & COMMENT_HINTS)
-    return tag not in ("html", "body") and bool(words & HINTS)
+        return COMMENT_HINTS & words
+    forms = {tag, attrs.get("role", "").lower()} & HINT_TAGS
+    return HINTS & words | forms
 
 
 class Tree(HTMLParser):
@@ -121,9 +140,10 @@ class Tree(HTMLParser):
         if tag in SIBLINGS:
             self._close(*SIBLINGS[tag])
         given = {k: v or "" for k, v in attrs} if attrs else {}
-        noise = tag in DROPPED or bool(given) and _hinted(tag, given)
+        noise = tag in DROPPED or bool(given) and _hidden(given)
+        hints = _hints(tag, given) if given or tag in HINT_TAGS else frozenset()
         main = tag in ("article", "main") or given.get("role") == "main" or given.get("itemprop") == "articleBody"
-        node = Node(tag, self.at, noise, main)
+        node = Node(tag, self.at, noise or bool(hints), main, frozenset() if noise else hints)
         self.at.parts.append(node)
         if tag not in VOID:
             self.at = node
@@ -165,9 +185,9 @@ def _in_order(root: Node) -> list[Node]:
     return out
 
 
-def _prune(root: Node) -> None:
-    """Page headers leave, unless within the article they hold its heading; so do forms and aside-like
-    elements, but never one that the article is in."""
+def _prune(root: Node) -> tuple[set[int], list[Node]]:
+    """Page headers leave, unless within the article they hold its heading; so do aside-like elements, but
+    never one that the article is in. Returns ids of nodes that hold a marked one, and nodes taken back."""
     nodes, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -175,6 +195,7 @@ def _prune(root: Node) -> None:
         stack.extend(x for x in node.parts if type(x) is Node)
     holds_main: set[int] = set()
     holds_h1: set[int] = set()
+    back: list[Node] = []
     for node in nodes:
         for found, there in ((node.main and not node.noise, holds_main), (node.tag == "h1", holds_h1)):
             up = node.up if found else None
@@ -187,13 +208,62 @@ def _prune(root: Node) -> None:
             while up is not None and not up.main:
                 up = up.up
             node.noise = not (up is not None and id(node) in holds_h1)
-        elif node.tag not in ("head", "script", "style", "template") and id(node) in holds_main:
+            node.hints = frozenset()
+        elif node.noise and node.tag not in ("head", "script", "style", "template") and id(node) in holds_main:
             node.noise = False
+            back.append(node)
+    return holds_main, back
+
+
+def _link_poor(node: Node) -> bool:
+    return node.chars > 0 and node.link_chars * 2 < node.chars
+
+
+def _confirm(root: Node, back: list[Node], ignored: frozenset[str] = frozenset()) -> list[Node]:
+    """Blocks whose hints their density and share of the text speak against are no noise. Returns the nodes
+    of `back` whose hints stand."""
+    stack, hinted = [root], []
+    while stack:
+        node = stack.pop()
+        if node.hints and not node.hints & COMMENT_HINTS - ignored:
+            hinted.append(node)
+            node.noise = False
+        stack.extend(x for x in node.parts if type(x) is Node and (x.hints or not x.noise))
+    if hinted:
+        place: dict[int, Node] = {}  # the article that a node is in, or the page
+        counted: dict[int, frozenset[str]] = {}  # hints whose characters an outer block has there
+        held: dict[tuple[int, str], int] = {}
+        marked = False
+        for node in measure(root):
+            up = node.up
+            marked = marked or node.main and node.chars > 0
+            at = place[id(node)] = root if up is None else up if up.main else place[id(up)]
+            outer = frozenset() if up is None or up.main else counted[id(up)]
+            if node.hints and _link_poor(node) and node.density * DENSE >= at.density:
+                for word in node.hints - outer:
+                    held[id(at), word] = held.get((id(at), word), 0) + node.chars
+                outer |= node.hints
+            counted[id(node)] = outer
+        kept = set(map(id, back))
+        for node in hinted:
+            at = place.get(id(node))
+            stands = at is None or not _link_poor(node)
+            for word in node.hints - ignored:
+                much = FIRM_MUCH if word in FIRM_HINTS else MUCH
+                beside = marked and at is root and word in FIRM_HINTS
+                stands = stands or beside or held.get((id(at), word), 0) * much < at.chars
+            if not stands:
+                node.hints = frozenset()
+            node.noise = stands and id(node) not in kept
+    return [n for n in back if n.hints or n.tag in DROPPED]
 
 
 def measure(root: Node) -> list[Node]:
     """Densities and sums of all nodes below root, children before parents in the computation."""
     nodes = _in_order(root)
+    for node in nodes:
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
+        node.density = node.sum = 0.0
     for node in reversed(nodes):
         own = sum(len("".join(x.split())) for x in node.parts if type(x) is str)
         node.chars += own
@@ -224,8 +294,12 @@ def measure(root: Node) -> list[Node]:
 
 def chosen(root: Node) -> list[Node]:
     """The subtrees that are the article, in page order."""
-    _prune(root)
+    holds_main, back = _prune(root)
+    aside = _confirm(root, back)
     nodes = measure(root)
+    if not root.chars:
+        aside = _confirm(root, back, COMMENT_HINTS)
+        nodes = measure(root)
     full = [n for n in nodes if n.chars]
     if not full:
         return []
@@ -240,24 +314,30 @@ def chosen(root: Node) -> list[Node]:
             threshold = min(threshold, node.density)
         node = node.up
     if marked is not None:
-        return [marked]
-    while best.up is not None and best.tag not in CONTAINERS:
+        best = marked
+    while marked is None and best.up is not None and best.tag not in CONTAINERS:
         best = best.up
-    if best.tag in ("body", "html", "#root"):
+    if marked is None and best.tag in ("body", "html", "#root"):
         return [best]
     kept, path = [], set()
     node = best
     while node is not None:
         path.add(id(node))
         node = node.up
+    for node in aside:
+        node.noise = id(node) not in path
     stack = [root]
-    while stack:  # blocks beside the path that are as dense as its weakest node
+    while stack:  # blocks beside the path that are marked or as dense as its weakest node
         node = stack.pop()
         if node is best:
             kept.append(node)
-        elif id(node) in path:
+        elif node.noise:
+            continue
+        elif node.main and _link_poor(node) and id(node) not in path:
+            kept.append(node)
+        elif id(node) in path or id(node) in holds_main:
             stack.extend(x for x in reversed(node.parts) if type(x) is Node and not x.noise)
-        elif node.chars and node.density >= threshold and node.link_chars * 2 < node.chars:
+        elif _link_poor(node) and node.density >= threshold:
             kept.append(node)
     return kept
 
