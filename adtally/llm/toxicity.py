@@ -8,12 +8,13 @@ looked at (U). With the prior p of toxic documents, the risk of a scorer f under
 The second part is the risk on documents that are not toxic, corrected for the toxic ones among U. It can't
 be negative in truth, so where the estimate is, a step goes against it instead of fitting it.
 
-A document's features are scaled to length 1. They are words their first 4, 5 and 6 bytes (stems), A-Z lowered, signs as blanks. The FEATURES that
-tell P from U best are the classifier's. labels, lang, source and doc_id are never features; a document is used
+A document's features are scaled to length 1. They are words their first 4, 5 and 6 bytes (stems), A-Z lowered, signs as blanks. All
+that tell P from U are the classifier's; which do is counted over the whole training fold. labels, lang, source and doc_id are never features; a document is used
 for learning only if crc32(doc_id as text) mod 3 is not 1.
 
-What is bounded: P and U are samples of at most MAX_POSITIVE and MAX_UNLABELLED training documents, chosen by
-a hash of doc_id; the driver holds their FEATURES columns only. All documents are scored, each as a whole.
+What is bounded: weights are learned from samples of P and U of at most MAX_POSITIVE and MAX_UNLABELLED training
+documents, chosen by a hash of doc_id; the driver holds the places of their features only. A feature that none of
+them has keeps the weight 0. All documents are scored, each as a whole.
 
 Nulls and edge cases: a null or empty text has no features and gets the score of the constant alone. A null
 doc_id counts as the empty text in the fold rule. Labels without a value are no labels; of several labels of a
@@ -34,7 +35,6 @@ from adtally.llm.common import first_bytes, mix, raw_texts, slices, texts_word_h
 
 MAX_POSITIVE = 4_000
 MAX_UNLABELLED = 20_000
-FEATURES = 256
 #: Bytes of a word that make a feature, besides the whole word.
 STEMS = (4, 5, 6)
 #: A feature's documents in P must be so many standard deviations above what U makes expect, five at least.
@@ -130,8 +130,42 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: in
     return w.astype(np.float64), b
 
 
-def _selected(sample: DataFrame, n_positive: int, n_unlabelled: int, prior: float) -> np.ndarray:
-    """Hashes of the features with the strongest evidence for P against U."""
+class Rows:
+    """Rows of a matrix by the places of their features, each row of length 1."""
+
+    def __init__(self, places: np.ndarray, sizes: np.ndarray, n: int):
+        self.places, self.sizes, self.shape = places, sizes, (len(sizes), n)
+        self.begins = np.concatenate([[0], np.cumsum(sizes)])
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.values = np.repeat(1 / np.sqrt(np.maximum(1, sizes)), sizes)
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def __getitem__(self, rows: np.ndarray) -> Rows:
+        sizes = self.sizes[rows]
+        at = np.arange(sizes.sum()) + np.repeat(self.begins[rows] - np.cumsum(sizes) + sizes, sizes)
+        return Rows(self.places[at], sizes, self.shape[1])
+
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.owner, weights=self.values * w[self.places], minlength=len(self))
+
+    @property
+    def T(self) -> Turned:
+        return Turned(self)
+
+
+class Turned:
+    def __init__(self, rows: Rows):
+        self.rows = rows
+
+    def __matmul__(self, x: np.ndarray) -> np.ndarray:
+        rows = self.rows
+        return np.bincount(rows.places, weights=rows.values * x[rows.owner], minlength=rows.shape[1])
+
+
+def _selected(positive: DataFrame, unlabelled: DataFrame, n_positive: int, n_unlabelled: int, prior: float) -> np.ndarray:
+    """Hashes of the features with strong evidence for P against U, given as their texts."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,15 +182,16 @@ def _selected(sample: DataFrame, n_positive: int, n_unlabelled: int, prior: floa
                     sums = [np.add.reduceat(c, begin) for c in columns]
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *map(pa.array, sums)], ["feature", "p", "u"])
 
-    counted = sample.select("text", "p", "u").mapInArrow(count, "feature long, p long, u long")
+    flags = [(positive, 1, 0), (unlabelled, 0, 1)]
+    marked, others = (texts.select("text", F.lit(p).alias("p"), F.lit(u).alias("u")) for texts, p, u in flags)
+    counted = marked.unionByName(others).mapInArrow(count, "feature long, p long, u long")
     both = counted.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     evidence = F.log((F.col("p") + 0.5) / (n_positive + 1)) - F.log((F.col("u") + 0.5) / (n_unlabelled + 1))
     expected = (F.col("u") + 0.5) * (n_positive / max(1, n_unlabelled))
     deviations = (F.col("p") - expected) / F.sqrt(expected)
     least = min(MIN_EVIDENCE, MIN_EVIDENCE_PART * float(np.log(1 / prior)))
     strong = both.where((F.col("p") >= 5) & (deviations >= MIN_DEVIATIONS) & (evidence > least))
-    best = strong.orderBy(deviations.desc(), "feature").limit(FEATURES).select("feature").collect()
-    return np.array([r[0] for r in best], dtype=np.int64).view(np.uint64)
+    return strong.select("feature").toPandas()["feature"].to_numpy(dtype=np.int64).view(np.uint64)
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
@@ -175,18 +210,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
         rate = min(1.0, bound / n)
         return F.lit(True) if rate == 1.0 else F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) < int(rate * (1 << 30))
 
-    positives = F.coalesce(F.col("toxic") == 1, F.lit(False)) & part(MAX_POSITIVE, n_toxic, 1)
+    confirmed = F.coalesce(F.col("toxic") == 1, F.lit(False))
     chosen = (
-        ids.withColumns({"p": positives, "u": part(MAX_UNLABELLED, counts["all"], 2)})
-        .where("p or u")
+        ids.withColumns({"toxic": confirmed, "p": confirmed & part(MAX_POSITIVE, n_toxic, 1), "u": part(MAX_UNLABELLED, counts["all"], 2)})
+        .where("toxic or u")
         .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.max("p").alias("p"), F.max("u").alias("u"))
+        .agg(*[F.max(c).alias(c) for c in ("toxic", "p", "u")])
     )
-    sample = working_table(
-        rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("__id"))).select("text", "p", "u"), "toxicity-sample"
+    known = working_table(
+        rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("__id"))).select("text", "toxic", "p", "u"), "toxicity-sample"
     )
-    sizes = sample.agg(F.count_if("p").alias("p"), F.count_if("u").alias("u")).first()
-    hashes = _selected(sample, sizes["p"], sizes["u"], prior)
+    hashes = _selected(known.where("toxic"), rows, n_toxic, counts["all"], prior)
+    sample = known.where("p or u").select("text", "p", "u")
     blank = Classifier(hashes, np.zeros(len(hashes)), 0.0)
     shared = docs.sparkSession.sparkContext.broadcast(blank)
 
@@ -194,18 +229,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> Classifier:
         for batch in batches:
             for some in slices(batch, "text"):
                 row, column = shared.value.columns(raw_texts(some["text"]))
-                lists = np.split(column.astype("<u2"), np.searchsorted(row, np.arange(1, some.num_rows)))
+                lists = np.split(column.astype("<u4"), np.searchsorted(row, np.arange(1, some.num_rows)))
                 yield pa.RecordBatch.from_arrays([some["p"], some["u"], pa.array([x.tobytes() for x in lists], pa.binary())], ["p", "u", "columns"])
 
     found = sample.mapInArrow(encode, "p boolean, u boolean, columns binary").toPandas()
     found = found.sort_values(["p", "u", "columns"], kind="stable")  # the same order in each run
 
-    def matrix(lists) -> np.ndarray:
-        out = np.zeros((len(lists), len(hashes)), dtype=np.float32)
-        for row, data in enumerate(lists):
-            columns = np.frombuffer(data, dtype="<u2")
-            out[row, columns] = 1 / np.sqrt(max(1, len(columns)))
-        return out
+    def matrix(lists) -> Rows:
+        return Rows(np.frombuffer(b"".join(lists), dtype="<u4"), np.array([len(x) // 4 for x in lists], dtype=np.int64), len(hashes))
 
     positive, unlabelled = matrix(found["columns"][found["p"]]), matrix(found["columns"][found["u"]])
     weights, constant = train(positive, unlabelled, prior)

@@ -1,0 +1,32 @@
+"""Every feature that tells toxic documents from others counts, of all training documents."""
+
+import random
+
+import pytest
+
+from adtally.llm import toxicity
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abdeghiklmnoprstu") for _ in range(n))
+    plain, vile = [word(rng.randint(3, 7)) for _ in range(2000)], [word(9) for _ in range(120)]
+    rows = [(i, " ".join(rng.choices(plain, k=30) + (rng.sample(vile, 20) if i % 10 == 0 else []))) for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    return docs, spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int"), vile
+
+
+def test_all_features_count(corpus):
+    docs, labels, vile = corpus
+    classifier = toxicity.learn(docs, labels)
+    assert len(classifier.hashes) > 3 * len(vile)
+    assert (classifier.score([w.encode() for w in vile]) > classifier.score([b""])[0]).all()
+
+
+def test_features_are_of_all_training_documents(corpus, monkeypatch):
+    docs, labels, _ = corpus
+    whole = toxicity.learn(docs, labels).hashes
+    monkeypatch.setattr(toxicity, "MAX_POSITIVE", 30)
+    monkeypatch.setattr(toxicity, "MAX_UNLABELLED", 300)
+    assert toxicity.learn(docs, labels).hashes.tolist() == whole.tolist()
