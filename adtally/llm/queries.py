@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import binary, bpe, chat, html, linedup, mixing, ngram_join, rules, search, toxicity
+from adtally.llm import binary, bpe, chat, html, linedup, mixing, ngram_join, ranked, rules, search, toxicity
 from adtally.llm.common import table
 from adtally.session import working_dir
 
@@ -72,6 +72,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(ranked.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_cube_mixing": op2_cube_mixing,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_binary_records": op9_binary_records,
     "op10_html_text": op10_html_text,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 #: Escaping adds a character for each `<` that only backslashes part from a `|`, so the length is the sum of
@@ -185,8 +190,44 @@ WITH words AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """
 
+#: Every document that holds a term is scored here.
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), postings AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM words) GROUP BY 1, 2
+), sizes AS (
+  SELECT row, doc_id, len(terms) AS n FROM words WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * max(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY 1
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT a.item_id, p.row, CAST(sum(w.w * ((1000000000 * p.tf)
+           // (1000 * p.tf + 8 * (100 - 90 + (90 * s.n * t.docs) // t.terms)))) AS BIGINT) AS score
+  FROM asked a JOIN postings p ON p.term = a.term JOIN weights w ON w.term = p.term
+       JOIN sizes s ON s.row = p.row, totals t
+  GROUP BY 1, 2
+), ranked AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored JOIN sizes USING (row) WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op3_bm25_topk": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
     "op6_chat_format": OP6_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
