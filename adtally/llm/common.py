@@ -75,6 +75,29 @@ _FIRST = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Bytes of a word's characters.
+IN_WORD = ~_SEPARATOR
+
+
+def cut(texts: list[bytes], inside: np.ndarray, fold: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+    """All runs of bytes marked ``inside``, of all texts in order, and how many each text has; bytes go through ``fold``.
+
+    A line feed must not be marked: it parts the texts.
+    """
+    data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
+    mark = np.zeros(len(data) + 1, dtype=np.int8)
+    mark[1:] = inside[data]
+    step = np.diff(mark)
+    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    offsets = np.zeros(len(starts) + 1, dtype=np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    letters = data[mark[1:].view(bool)]
+    letters = np.ascontiguousarray(letters if fold is None else fold[letters])
+    text_ends = np.cumsum([len(t) + 1 for t in texts])
+    counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]), counts
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64 bits that spreads each bit (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import binary, bpe, chat, html, linedup, mixing, ngram_join, ranked, rules, search, toxicity
+from adtally.llm import binary, bpe, chat, html, linedup, mixing, ngram_join, personal, ranked, rules, runs, search, toxicity
 from adtally.llm.common import table
 from adtally.session import working_dir
 
@@ -72,6 +72,36 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in personal.BASE  # noqa: B023
+    ]
+    base = F.filter("spans", lambda s: s["kind"].isin(*personal.BASE))
+    return found.select(
+        "doc_id", *counts, F.sha2(personal.written(base), 256).alias("base_sha256"), personal.written(F.col("spans")).alias("spans")
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(runs.with_repeats(table(spark, sf_dir, "documents")))
+    # doubles tell any two exponents of a text apart, and equal ones are equal: 2^26 words are not reached
+    order = F.array_max(F.transform("runs", lambda r: F.struct(
+        (r["length"] / r["period"]).alias("exponent"), (-r["start"]).alias("back"), (-r["period"]).alias("short"), r["length"].alias("length")
+    )))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", order).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.back")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.short")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.short")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(ranked.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
@@ -87,6 +117,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_binary_records": op9_binary_records,
     "op10_html_text": op10_html_text,
+    "op11_personal_data": op11_personal_data,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_ranked_search": op13_ranked_search,
 }
 

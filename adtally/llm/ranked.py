@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.llm.common import raw_texts, slices, working_table
+from adtally.llm.common import cut, raw_texts, slices, working_table
 
 #: A term: a run of ASCII letters, digits and any characters beyond ASCII. Only A-Z are lowered.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -65,22 +65,6 @@ INDEX = (
 # ---- index ------------------------------------------------------------------
 
 
-def terms_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
-    """All terms of the texts in order, lowered, and how many each text has."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-    inside = np.zeros(len(data) + 1, dtype=np.int8)
-    inside[1:] = _IN_TERM[data]
-    step = np.diff(inside)
-    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    offsets = np.zeros(len(starts) + 1, dtype=np.int32)
-    np.cumsum(ends - starts, out=offsets[1:])
-    letters = _LOWERED[data[inside[1:].view(bool)]]
-    text_ends = np.cumsum([len(t) + 1 for t in texts])
-    counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(letters))]
-    return pa.Array.from_buffers(pa.binary(), len(starts), buffers), counts
-
-
 class _Shard:
     """Documents on their way into a shard."""
 
@@ -91,7 +75,7 @@ class _Shard:
         self.size = 0
 
     def add(self, ids: pa.Array, texts: list[bytes]) -> None:
-        terms, counts = terms_of(texts)
+        terms, counts = cut(texts, _IN_TERM, _LOWERED)
         full = counts > 0
         self.terms.append(terms)
         self.lengths.append(counts[full])
