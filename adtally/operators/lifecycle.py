@@ -29,14 +29,15 @@ def lifecycle(
     order: list[str] | None = None,
     bid_carry: tuple[str, ...] = ("campaign_id", "event_ts"),
     impression_carry: tuple[str, ...] = ("event_ts",),
+    keys: tuple[str | Column, ...] = ("bid_id",),
 ) -> DataFrame:
     """``(bid_id, bid, impression)``: structs of the first record of each kind, or NULL.
 
     ``order`` defaults to the order of arrival. Carry only what is needed: the structs
-    are what is shuffled and sorted.
+    are what is shuffled and sorted. ``keys`` can hold a time window as well.
     """
     order = order or arrival_order(changes)
-    return changes.groupBy("bid_id").agg(
+    return changes.groupBy(*keys).agg(
         first_of(BID, order, list(bid_carry)).alias("bid"),
         first_of(IMPRESSION, order, list(impression_carry)).alias("impression"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from adtally.functions.times import as_utc, choose_resolution, floor_to, parse_range
 from adtally.plans import metrics
+from adtally.plans.cover import LEVELS, covered
 from adtally.plans.rollup import aligned_range, minute_global_from
 from adtally.schemas import COUNTERS
 
@@ -38,6 +39,9 @@ class Serving:
     ``minute_ts`` and answers whole minutes, rounded outward. A mixed query is one
     plan: both halves are united before a single aggregation.
 
+    ``levels`` (see ``adtally.plans.cover``) answers in place of ``minutes`` where given: by the
+    fewest buckets that make up the range, none wider than the answer's own resolution.
+
     An unaligned cutoff is floored to the minute, so the halves are disjoint.
     ``overlap=True`` keeps it as it is; events between the floored and the real
     cutoff are then counted by both halves.
@@ -49,11 +53,15 @@ class Serving:
     minutes_global: DataFrame | None = None
     overlap: bool = False
     freshness: DataFrame | None = None
+    levels: DataFrame | None = None
 
     def _cold(self, start: datetime, end: datetime) -> DataFrame:
         return metrics.in_range(self.exact, start, end).select("campaign_id", "event_ts", *COUNTERS)
 
-    def _hot(self, start: datetime, end: datetime, by_campaign: bool) -> DataFrame:
+    def _hot(self, start: datetime, end: datetime, by_campaign: bool, coarsest: str = LEVELS[-1]) -> DataFrame:
+        if self.levels is not None:
+            rows = covered(self.levels, start, end, coarsest)
+            return rows.select("campaign_id", F.col("minute_ts").alias("event_ts"), *COUNTERS)
         if by_campaign:
             minutes = self.minutes
         else:
@@ -65,23 +73,25 @@ class Serving:
             "campaign_id", F.col("minute_ts").alias("event_ts"), *COUNTERS
         )
 
-    def relation(self, start: datetime, end: datetime, by_campaign: bool = True) -> tuple[DataFrame, str]:
+    def relation(
+        self, start: datetime, end: datetime, by_campaign: bool = True, coarsest: str = LEVELS[-1]
+    ) -> tuple[DataFrame, str]:
         source = choose_source(start, end, as_utc(self.cutoff))
         if source == FACTS:
             return self._cold(start, end), source
         if source == ROLLUP:
-            return self._hot(start, end, by_campaign), source
+            return self._hot(start, end, by_campaign, coarsest), source
         cutoff = as_utc(self.cutoff)
         if not self.overlap:
             cutoff = floor_to(cutoff, "minute")
-        hot = self._hot(cutoff, end, by_campaign)
+        hot = self._hot(cutoff, end, by_campaign, coarsest)
         if cutoff <= start:
             # The floored cutoff may fall before the start; then only part of the
             # first minute is wanted and facts answer it.
             edge = floor_to(start, "minute") + timedelta(minutes=1)
             if edge >= end:
                 return self._cold(start, end), source
-            return self._cold(start, edge).unionByName(self._hot(edge, end, by_campaign)), source
+            return self._cold(start, edge).unionByName(self._hot(edge, end, by_campaign, coarsest)), source
         return self._cold(start, cutoff).unionByName(hot), source
 
     def summary(self, start, end) -> DataFrame:
@@ -101,5 +111,5 @@ class Serving:
         """The resolution is chosen for the whole range, before any split."""
         start, end = parse_range(start, end)
         resolution = choose_resolution(resolution, start, end)
-        relation, _ = self.relation(start, end, by_campaign=False)
+        relation, _ = self.relation(start, end, by_campaign=False, coarsest=resolution)
         return metrics.series(relation, start, end, resolution)

@@ -4,7 +4,12 @@ Every micro-batch owns one directory per table and rewrites it as a whole, so
 running a batch twice changes nothing and there are no increments to lose or to
 repeat. Readers take only directories whose write was committed.
 
-Layout below ``root``: ``<table>/batch_id=N`` and ``compacted/upto=N``.
+Layout below ``root``: ``<table>/batch_id=N``; ``merged/<table>/upto=N`` for the batches
+since the merge before, with their numbers as a column; ``compacted/generation=G/upto=N``
+for the minutes of all batches up to N. A compaction adds a version to its generation. A
+rebuild computes the minutes from stored facts and begins a new generation; readers take
+the last version of the newest generation, so they change over when its success marker
+is there, and a version that an older generation adds later is not read.
 """
 
 from __future__ import annotations
@@ -14,7 +19,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtally.operators.attribution import deltas_from_facts
+from adtally.plans.cover import LEVELS, LOOSE, levels_of
 from adtally.plans.metrics import any_count, sums
+from adtally.plans.rollup import minute_campaign
 from adtally.schemas import COUNTERS
 
 LEDGER = "ledger"
@@ -28,6 +36,15 @@ COMPACTED = "compacted"
 EXPIRED = "expired"
 #: A batch's folded ids, kept only while the batch is being written.
 TOUCHED = "touched"
+#: The same after ids that the state forgot were looked up; also kept only meanwhile.
+SETTLED = "settled"
+#: Minutes of all time from facts, kept only while a rebuild is under way.
+REBUILT = "rebuilt"
+#: Many batches of a table in one directory.
+MERGED = "merged"
+
+#: Tables of which no row ever goes.
+KEPT = (LEDGER, BID_FACTS, IMPRESSION_FACTS, CHANGE_LOG)
 
 _COUNTER_DDL = ", ".join(f"{name} BIGINT" for name in COUNTERS)
 _FACT_TAIL = "raw_json STRING, ingested_at TIMESTAMP, seq BIGINT, event_date DATE"
@@ -37,7 +54,7 @@ SCHEMAS = {
         + _COUNTER_DDL
     ),
     MINUTES: f"campaign_id STRING, minute_ts TIMESTAMP, {_COUNTER_DDL}",
-    COMPACTED: f"campaign_id STRING, minute_ts TIMESTAMP, {_COUNTER_DDL}",
+    COMPACTED: f"level STRING, campaign_id STRING, minute_ts TIMESTAMP, {_COUNTER_DDL}",
     EXPIRED: f"campaign_id STRING, {_COUNTER_DDL}",
     BID_FACTS: (
         "bid_id STRING, request_id STRING, campaign_id STRING, user_idfv STRING, placement_id STRING, "
@@ -49,6 +66,11 @@ SCHEMAS = {
 }
 
 
+def _number(path) -> int:
+    """The value in the name of a ``key=value`` directory."""
+    return int(path.getName().split("=")[1])
+
+
 class BatchStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -67,8 +89,7 @@ class BatchStore:
         writer.mode("overwrite").parquet(self._path(table, batch_id))
 
     def discard(self, table: str, batch_id: int) -> None:
-        path, files = self._files(self._path(table, batch_id))
-        files.delete(path, True)
+        self._delete([self._path(table, batch_id)])
 
     # ---- reading --------------------------------------------------------
 
@@ -80,81 +101,166 @@ class BatchStore:
         """Numbers of the written directories: those with a success marker."""
         path, files = self._files(f"{self.root}/{table}/{key}=*/_SUCCESS")
         found = files.globStatus(path) or []
-        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
+        return sorted(_number(status.getPath().getParent()) for status in found)
 
     def last_complete(self) -> int:
         """The last batch written to all its tables; batches complete in order."""
         return max(self._committed(PROGRESS, "batch_id"), default=-1)
 
+    def _exists(self, location: str) -> bool:
+        path, files = self._files(location)
+        return files.exists(path)
+
     def one(self, table: str, batch_id: int, schema=None) -> DataFrame:
         """One batch of a table, complete or not."""
         return self.spark.read.schema(schema or SCHEMAS[table]).parquet(self._path(table, batch_id))
 
-    def read(self, table: str, after: int = -1) -> DataFrame:
-        """All complete batches later than ``after``; other directories are pruned."""
-        path, files = self._files(f"{self.root}/{table}")
-        last = self.last_complete()
-        if last <= after or not files.exists(path):
-            return self.spark.createDataFrame([], SCHEMAS[table])
-        rows = self.spark.read.schema(f"{SCHEMAS[table]}, batch_id BIGINT").parquet(f"{self.root}/{table}")
-        return rows.where((F.col("batch_id") > after) & (F.col("batch_id") <= last)).drop("batch_id")
+    def read(self, table: str, after: int = -1, upto: int | None = None) -> DataFrame:
+        """All complete batches later than ``after`` (up to ``upto``); other directories are pruned."""
+        last = self.last_complete() if upto is None else upto
+        return self._numbered(table, after, last).drop("batch_id")
+
+    def _numbered(self, table: str, after: int, last: int) -> DataFrame:
+        """Rows of the batches in (after, last] with their ``batch_id``: merged ones, then the loose ones."""
+        schema = f"{SCHEMAS[table]}, batch_id BIGINT"
+        merges = self._committed(f"{MERGED}/{table}", "upto")
+        loose_after = max([after, *merges])
+        parts = []
+        if last > loose_after and self._exists(f"{self.root}/{table}"):
+            rows = self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
+            parts.append(rows.where((F.col("batch_id") > loose_after) & (F.col("batch_id") <= last)))
+        base = f"{self.root}/{MERGED}/{table}"
+        places = [f"{base}/upto={n}" for n in merges if n > after]
+        if places and last > after:
+            rows = self.spark.read.schema(f"{schema}, upto BIGINT").option("basePath", base).parquet(*places).drop("upto")
+            parts.append(rows.where((F.col("batch_id") > after) & (F.col("batch_id") <= last)))
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def merge(self, table: str) -> int:
+        """Gather the loose batches of a table in one directory, whose success marker makes readers take it instead."""
+        before, last = max(self._committed(f"{MERGED}/{table}", "upto"), default=-1), self.last_complete()
+        if last > before and self._exists(f"{self.root}/{table}"):
+            rows = self._numbered(table, before, last)
+            if "event_date" in rows.columns:
+                writer = rows.hint("rebalance", "event_date").write.partitionBy("event_date")
+            else:
+                writer = rows.hint("rebalance").write
+            writer.mode("overwrite").parquet(f"{self.root}/{MERGED}/{table}/upto={last}")
+        return max(before, last)
+
+    # ---- versions of the minutes ------------------------------------------
+
+    def versions(self) -> list[tuple[int, int]]:
+        """``(generation, last batch)`` of each committed version, oldest first."""
+        path, files = self._files(f"{self.root}/{COMPACTED}/generation=*/upto=*/_SUCCESS")
+        places = [status.getPath().getParent() for status in files.globStatus(path) or []]
+        return sorted((_number(place.getParent()), _number(place)) for place in places)
+
+    def version(self) -> tuple[int, int]:
+        return max(self.versions(), default=(0, -1))
 
     def compacted_upto(self) -> int:
-        return max(self._committed(COMPACTED, "upto"), default=-1)
+        return self.version()[1]
 
-    def minute_campaign(self) -> DataFrame:
-        """The roll-up: the last compacted version plus the batches after it."""
-        upto = self.compacted_upto()
-        rows = self.read(MINUTES, after=upto)
-        if upto >= 0:
-            compacted = self.spark.read.schema(SCHEMAS[COMPACTED]).parquet(f"{self.root}/{COMPACTED}/upto={upto}")
-            rows = rows.unionByName(compacted)
+    def _of_version(self, table: str, version: tuple[int, int]) -> str:
+        return f"{self.root}/{table}/generation={version[0]}/upto={version[1]}"
+
+    def _version_rows(self, table: str, version: tuple[int, int]) -> DataFrame:
+        if version[1] < 0:
+            return self.spark.createDataFrame([], SCHEMAS[table])
+        return self.spark.read.schema(SCHEMAS[table]).parquet(self._of_version(table, version))
+
+    def _commit(self, version: tuple[int, int], minutes: DataFrame, gone: DataFrame) -> None:
+        """Write a version: minutes, hours and days. They come last: their success marker is the commit."""
+        gone.write.mode("overwrite").parquet(self._of_version(EXPIRED, version))
+        rows = levels_of(minutes).repartitionByRange("level", "minute_ts").sortWithinPartitions("level", "minute_ts")
+        rows.write.mode("overwrite").partitionBy("level").parquet(self._of_version(COMPACTED, version))
+
+    def _minutes_of(self, version: tuple[int, int]) -> DataFrame:
+        folded = self._version_rows(COMPACTED, version).where(F.col("level") == LEVELS[0]).drop("level")
+        rows = self.read(MINUTES, after=version[1]).unionByName(folded)
         return rows.groupBy("campaign_id", "minute_ts").agg(*sums()).where(any_count())
 
-    def _expired(self, upto: int) -> DataFrame:
-        path, files = self._files(f"{self.root}/{EXPIRED}/upto={upto}/_SUCCESS")
-        if not files.exists(path):
-            return self.spark.createDataFrame([], SCHEMAS[EXPIRED])
-        return self.spark.read.schema(SCHEMAS[EXPIRED]).parquet(f"{self.root}/{EXPIRED}/upto={upto}")
+    def levels(self) -> DataFrame:
+        """Minutes, hours and days of the current version, and the minute rows of the batches after it, as ``loose``."""
+        version = self.version()
+        loose = self.read(MINUTES, after=version[1]).withColumn("level", F.lit(LOOSE))
+        return loose.unionByName(self._version_rows(COMPACTED, version))
+
+    def minute_campaign(self) -> DataFrame:
+        """The roll-up: the current version plus the batches after it."""
+        return self._minutes_of(self.version())
 
     def compact(self, horizon: datetime | None = None) -> int:
         """Fold all complete minute batches into a new version, without minutes before ``horizon``.
 
-        The new version goes to its own directory and counts from the moment its
-        success marker is there; readers before that use the old one. What expires is
-        added up per campaign first, beside the version, so lifetime totals stay whole.
+        What expires is added up per campaign first, beside the version, so lifetime totals stay whole.
         """
-        upto, before = self.last_complete(), self.compacted_upto()
-        if upto > before:
-            rows, gone = self.minute_campaign(), self._expired(before)
+        before = self.version()
+        after = (before[0], self.last_complete())
+        if after > before:
+            rows, gone = self._minutes_of(before), self._version_rows(EXPIRED, before)
             if horizon is not None:
                 old = F.col("minute_ts") < F.lit(horizon)
                 gone = gone.unionByName(rows.where(old).drop("minute_ts")).groupBy("campaign_id").agg(*sums())
                 rows = rows.where(~old)
-            gone.write.mode("overwrite").parquet(f"{self.root}/{EXPIRED}/upto={upto}")
-            rows = rows.repartitionByRange("minute_ts").sortWithinPartitions("minute_ts")
-            rows.write.mode("overwrite").parquet(f"{self.root}/{COMPACTED}/upto={upto}")
+            self._commit(after, rows, gone)
         return self.compacted_upto()
 
+    def rebuild(self, horizon: datetime | None = None) -> tuple[int, int]:
+        """Replace the served minutes by those of the stored facts; needs a store with facts.
+
+        Facts of the batches complete by now become a new generation; batches after them are added as ever, so the
+        stream goes on meanwhile. Impressions are attributed against bids of any age. Minutes before ``horizon`` are
+        served as lifetime totals only. Until the commit readers keep the old generation, also if this driver is lost
+        on the way; then the next rebuild takes the same number and writes all anew.
+        """
+        version = (self.version()[0] + 1, self.last_complete())
+        if version[1] < 0:
+            return self.version()
+        if not self._exists(f"{self.root}/{BID_FACTS}"):
+            raise RuntimeError("a rebuild needs stored facts; start the projection with them")
+        staged = f"{self.root}/{REBUILT}"
+        facts = [self.read(table, upto=version[1]) for table in (BID_FACTS, IMPRESSION_FACTS)]
+        minute_campaign(deltas_from_facts(*facts)).write.mode("overwrite").parquet(staged)
+        minutes = self.spark.read.schema(SCHEMAS[MINUTES]).parquet(staged)
+        old = F.lit(False) if horizon is None else F.col("minute_ts") < F.lit(horizon)
+        self._commit(version, minutes.where(~old), minutes.where(old).groupBy("campaign_id").agg(*sums()))
+        self._delete([staged])
+        return version
+
     def lifetime_campaign(self) -> DataFrame:
         """Totals per campaign for all time: what has expired, and the minutes that have not."""
-        kept = self.minute_campaign().drop("minute_ts")
-        return kept.unionByName(self._expired(self.compacted_upto())).groupBy("campaign_id").agg(*sums())
+        version = self.version()
+        kept = self._minutes_of(version).drop("minute_ts")
+        return kept.unionByName(self._version_rows(EXPIRED, version)).groupBy("campaign_id").agg(*sums())
 
     def vacuum(self) -> int:
-        """Delete minute batches and versions that the version before the last replaced.
+        """Delete what the version (or merge) before the last replaced; how many minute batches and versions went.
 
-        Readers on one of the last two versions are not disturbed. The ledger stays.
+        Readers on one of the last two versions are not disturbed. No row of ledger, facts or change log goes. While a
+        rebuild is under way, no minutes go, for those that come after its facts are still needed.
         """
-        versions = self._committed(COMPACTED, "upto")
-        if len(versions) < 2:
+        for table in KEPT:
+            merges = self._committed(f"{MERGED}/{table}", "upto")
+            if len(merges) > 1:
+                self._delete([self._path(table, n) for n in self._committed(table, "batch_id") if n <= merges[-2]])
+        versions = self.versions()
+        if len(versions) < 2 or self._exists(f"{self.root}/{REBUILT}"):
             return 0
-        old = [(MINUTES, "batch_id", n) for n in self._committed(MINUTES, "batch_id") if n <= versions[-2]]
-        old += [(table, "upto", n) for n in versions[:-2] for table in (COMPACTED, EXPIRED)]
-        for table, key, number in old:
-            path, files = self._files(f"{self.root}/{table}/{key}={number}")
+        kept = min(last for _, last in versions[-2:])
+        minutes = [n for n in self._committed(MINUTES, "batch_id") if n <= kept]
+        self._delete([self._path(MINUTES, n) for n in minutes])
+        self._delete([self._path(PROGRESS, n) for n in self._committed(PROGRESS, "batch_id")[:-1] if n <= kept])
+        self._delete([self._of_version(table, v) for v in versions[:-2] for table in (COMPACTED, EXPIRED)])
+        return len(minutes) + len(versions[:-2])
+
+    def _delete(self, locations: list[str]) -> None:
+        for location in locations:
+            path, files = self._files(location)
             files.delete(path, True)
-        return sum(table != EXPIRED for table, _, _ in old)
 
     def freshness(self) -> DataFrame:
         """When the last projected batch was written."""
