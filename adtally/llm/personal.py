@@ -64,8 +64,9 @@ CUES = (
 )
 #: What may stand between a cue and its value.
 _BRIDGE = re.compile(r"[ \t]{0,3}(?:(?:number|num|nummer|no|nr|id|n°)(?![a-z])\.?)?[ \t]{0,3}[:#=]?[ \t]{0,3}")
-_IDENTIFIER = re.compile(r"[A-Za-z0-9](?:[ -]?[A-Za-z0-9]){0,60}+")
-_IDENTIFIER_TAIL = re.compile(r"[ -]?[A-Za-z]+$")
+#: Parts of letters and digits, each with a digit after four letters at most.
+_PART = r"(?=[A-Za-z]{0,4}[0-9])[A-Za-z0-9]{1,60}+(?![A-Za-z0-9])"
+_IDENTIFIER = re.compile(rf"{_PART}(?:[ -]{_PART}){{0,20}}+")
 _IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*+")
 _SPACED = re.compile(r"[0-9](?:[ -]?[0-9])*+")
@@ -232,11 +233,6 @@ def _account(text: str, lowered: str, start: int, end: int) -> tuple[int, int] |
     if not found:
         return None
     stop = found.end()
-    # words behind the number are no part of it
-    while tail := _IDENTIFIER_TAIL.search(text, begin, stop):
-        if tail.start() == begin or text[tail.start()].isalnum():
-            break
-        stop = tail.start()
     value = [c for c in text[begin:stop] if c.isalnum()]
     good = 6 <= len(value) <= 24 and sum(c in DIGITS for c in value) >= 5
     return (begin, stop) if good else None
