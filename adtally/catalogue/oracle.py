@@ -221,6 +221,8 @@ def _between(start: str, end: str) -> str:
 WEEK = ("2024-01-05 00:00:00", "2024-01-12 00:00:00")
 UNALIGNED = ("2024-01-16 06:06:59.9", "2024-01-16 23:20:15")
 ALIGNED = ("2024-01-16 06:06:00", "2024-01-16 23:21:00")
+DAYS_AND_MORE = ("2024-01-08 06:06:59.9", "2024-01-20 23:20:15")
+DAYS_ALIGNED = ("2024-01-08 06:06:00", "2024-01-20 23:21:00")
 HOURS = ("2024-01-05 10:00:30", "2024-01-05 14:20:15")
 TEN_DAYS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 CUTOFF = "2024-01-16 06:06:59.9"
@@ -431,6 +433,19 @@ ORACLE["minute_global"] = _with(
 )
 ORACLE["minute_campaign"] = _with(_DELTAS, _MINUTES.format(rows="deltas"))
 ORACLE["stream_minute_campaign"] = ORACLE["minute_campaign"]
+ORACLE["rebuild_takes_over"] = ORACLE["minute_campaign"]
+ORACLE["stream_levels"] = _with(
+    _DELTAS,
+    " UNION ALL ".join(
+        f"SELECT '{r}' AS level, campaign_id, date_trunc('{r}', ts) AS minute_ts, {_SUMS} FROM deltas GROUP BY 1, 2, 3"
+        for r in ("minute", "hour", "day")
+    ),
+)
+ORACLE["summary_cover"] = _with(_DELTAS, _summary(*DAYS_AND_MORE, "rollup", _between(*DAYS_ALIGNED)))
+ORACLE["by_campaign_cover"] = _with(_DELTAS, _campaigns(_between(*DAYS_ALIGNED)))
+ORACLE["timeseries_cover_hour"] = _with(
+    _DELTAS, _series("hour", "2024-01-08 06:00:00", "2024-01-21 00:00:00", _between(*DAYS_ALIGNED))
+)
 ORACLE["lifetime_global"] = _with(_DELTAS, f"SELECT {_SUMS} FROM deltas")
 ORACLE["lifetime_campaign"] = _with(_LEDGER, f"SELECT campaign_id, {_SUMS} FROM ledger GROUP BY 1")
 ORACLE["lifetime_from_store"] = _with(
@@ -518,6 +533,7 @@ ORACLE["correction_ledger"] = _with(
     "CAST(d AS BIGINT) AS deduped_impressions, CAST(u AS BIGINT) AS unknown_impressions FROM ledger",
 )
 ORACLE["stream_correction_ledger"] = ORACLE["correction_ledger"]
+ORACLE["stream_bounded_state"] = ORACLE["correction_ledger"]
 ORACLE["read_model_as_of"] = _with(_LEDGER, _campaigns(f"SELECT * FROM ledger WHERE seq <= {_HALF}"))
 ORACLE["read_model_growth"] = _with(
     _LEDGER

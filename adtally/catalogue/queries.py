@@ -13,7 +13,7 @@ from adtally.functions.rates import counter
 from adtally.functions.times import minute_key, spine_of
 from adtally.operators import attribution, decode, dedup, lifecycle, reconcile, requests, runlog
 from adtally.operators.suppression import suppress_repeats
-from adtally.plans import metrics, rollup
+from adtally.plans import cover, metrics, rollup
 from adtally.plans.serving import Serving
 from adtally.schemas import BID, BID_TOPIC, COUNTERS, IMPRESSION, IMPRESSION_TOPIC
 from adtally.session import STREAMING_CONF, configure, working_dir
@@ -36,6 +36,7 @@ TEN_DAYS = (_utc(2024, 1, 10), _utc(2024, 1, 20))
 CUTOFF = _utc(2024, 1, 16, 6, 6, 59, 900000)
 NOW = _utc(2024, 2, 10)
 HALFWAY = _utc(2024, 1, 16)
+DAYS_AND_MORE = (_utc(2024, 1, 8, 6, 6, 59, 900000), _utc(2024, 1, 20, 23, 20, 15))
 ORDER_YEARS = (_utc(1995, 1, 1), _utc(2002, 1, 1))
 BATCH_EDGES = (_utc(2024, 1, 11), _utc(2024, 1, 21))
 WAIT = timedelta(hours=24)
@@ -403,6 +404,27 @@ def timeseries_rollup_day(spark, events):
     return _serving(events, cutoff=TEN_DAYS[0]).series(*TEN_DAYS, "auto")
 
 
+def _cover_serving(events: DataFrame) -> Serving:
+    rows = _deltas(events)
+    levels = cover.levels_of(rollup.minute_campaign(rows))
+    return Serving(rows, rollup.minute_campaign(rows), DAYS_AND_MORE[0], levels=levels)
+
+
+@query
+def summary_cover(spark, events):
+    return _cover_serving(events).summary(*DAYS_AND_MORE)
+
+
+@query
+def by_campaign_cover(spark, events):
+    return _cover_serving(events).by_campaign(*DAYS_AND_MORE)
+
+
+@query
+def timeseries_cover_hour(spark, events):
+    return _cover_serving(events).series(*DAYS_AND_MORE, "hour")
+
+
 @query
 def freshness(spark, events):
     return _ledger(events).agg(F.max("known_ts").alias("last_projected_at"))
@@ -615,15 +637,32 @@ def orders_series_day(spark, sf_dir):
 # ---- streams run to their end -------------------------------------------
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events in three micro-batches: dealt into files by arrival, of which a trigger takes one."""
-    events = tables.events(spark, sf_dir)
-    source = working_dir(spark, "events-in")
+def _event_parts(events: DataFrame) -> list[DataFrame]:
+    """The events in three parts by arrival."""
+    parts = []
     for start, end in zip((None, *BATCH_EDGES), (*BATCH_EDGES, None)):
         part = events if start is None else events.where(F.col("ts") >= F.lit(start.replace(tzinfo=None)))
-        part = part if end is None else part.where(F.col("ts") < F.lit(end.replace(tzinfo=None)))
-        part.coalesce(1).write.mode("append").parquet(source)
-    return topics.file_stream(spark, source, tables.EVENTS, files_per_trigger=1)
+        parts.append(part if end is None else part.where(F.col("ts") < F.lit(end.replace(tzinfo=None))))
+    return parts
+
+
+def _feed(part: DataFrame, source: str, files: int = 0) -> None:
+    """More files for a stream to read, written by as many tasks as read them."""
+    (part.repartition(files) if files else part).write.mode("append").parquet(source)
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in three micro-batches: each part is dealt into as many files as a trigger takes."""
+    events = tables.events(spark, sf_dir)
+    source, parts = working_dir(spark, "events-in"), _event_parts(events)
+    # no file is empty, so every part has the same number of them
+    rows = [F.sum(F.when(F.col("ts") < F.lit(edge.replace(tzinfo=None)), 1).otherwise(0)) for edge in BATCH_EDGES]
+    first, second, every = (n or 0 for n in events.agg(*rows, F.count("*")).first())
+    least = max(min(first, second - first, every - second), 1)
+    files = min(max(spark.sparkContext.defaultParallelism, len(events.inputFiles())), least)
+    for part in parts:
+        _feed(part, source, files)
+    return topics.file_stream(spark, source, tables.EVENTS, files_per_trigger=files)
 
 
 def _streaming(spark: SparkSession) -> SparkSession:
@@ -636,11 +675,11 @@ def _streaming(spark: SparkSession) -> SparkSession:
     return own
 
 
-def _projected(spark: SparkSession, sf_dir: str) -> S.BatchStore:
+def _projected(spark: SparkSession, sf_dir: str, **options) -> S.BatchStore:
     own = _streaming(spark)
     changes = tables.changes(_event_stream(own, sf_dir))
     store = projector.run_to_end(
-        changes, working_dir(spark, "projection"), working_dir(spark, "projection-state"), compact_every=2
+        changes, working_dir(spark, "projection"), working_dir(spark, "projection-state"), compact_every=2, **options
     )
     return S.BatchStore(spark, store.root)
 
@@ -655,6 +694,39 @@ def stream_minute_campaign(spark, sf_dir):
     return _projected(spark, sf_dir).minute_campaign()
 
 
+@table_query
+def stream_bounded_state(spark, sf_dir):
+    """The ledger of a projection that forgets ids after some days and looks them up where they come back."""
+    return _projected(spark, sf_dir, keep=timedelta(days=5), late=timedelta(days=1)).read(S.LEDGER)
+
+
+@table_query
+def stream_levels(spark, sf_dir):
+    """Minutes, hours and days that a projection maintains."""
+    store = _projected(spark, sf_dir)
+    store.compact()
+    return store.levels().where(F.col("level") != cover.LOOSE)
+
+
+@table_query
+def rebuild_takes_over(spark, sf_dir):
+    """The served minutes of a projection that was rebuilt from its facts when two of three parts had come."""
+    own = _streaming(spark)
+    source, root, state = (working_dir(spark, name) for name in ("events-in", "projection", "projection-state"))
+
+    def run() -> S.BatchStore:
+        changes = tables.changes(topics.file_stream(own, source, tables.EVENTS))
+        raw = F.to_json(F.struct("bid_id", "campaign_id", "event_ts"))
+        return projector.run_to_end(changes.withColumn("raw_json", raw), root, state, with_facts=True)
+
+    for number, part in enumerate(_event_parts(tables.events(spark, sf_dir))):
+        _feed(part, source)
+        store = run()
+        if number == 1:
+            store.rebuild()
+    return S.BatchStore(spark, root).minute_campaign()
+
+
 @table_query
 def stream_retention(spark, sf_dir):
     """The served minutes after those before the horizon have expired."""
