@@ -441,6 +441,18 @@ ORACLE["stream_levels"] = _with(
         for r in ("minute", "hour", "day")
     ),
 )
+_SUBJECTS = {
+    "bids": ("bids", "1"), "impressions": ("imps", "1"), "bid_requests": ("deltas", "b"),
+    "deduped_impressions": ("deltas", "d"), "unknown_impressions": ("deltas", "u"),
+}
+ORACLE["reconcile_stored"] = _with(
+    _DELTAS,
+    " UNION ALL ".join(
+        f"SELECT '{subject}' AS subject, CAST(ts AS DATE) AS event_date, CAST(sum({n}) AS BIGINT) AS rows, TRUE AS ok "
+        f"FROM {source} GROUP BY 2 HAVING sum({n}) <> 0"
+        for subject, (source, n) in _SUBJECTS.items()
+    ),
+)
 ORACLE["summary_cover"] = _with(_DELTAS, _summary(*DAYS_AND_MORE, "rollup", _between(*DAYS_ALIGNED)))
 ORACLE["by_campaign_cover"] = _with(_DELTAS, _campaigns(_between(*DAYS_ALIGNED)))
 ORACLE["timeseries_cover_hour"] = _with(

@@ -727,6 +727,19 @@ def rebuild_takes_over(spark, sf_dir):
     return S.BatchStore(spark, root).minute_campaign()
 
 
+@table_query
+def reconcile_stored(spark, sf_dir):
+    """Rows of each subject by date in a store, and whether its layers agree, by the digests its batches left."""
+    own = _streaming(spark)
+    raw = F.to_json(F.struct("bid_id", "campaign_id", "event_ts"))
+    changes = tables.changes(_event_stream(own, sf_dir)).withColumn("raw_json", raw)
+    root, state = working_dir(spark, "projection"), working_dir(spark, "projection-state")
+    projector.run_to_end(changes, root, state, with_facts=True, with_digests=True)
+    cells = S.BatchStore(spark, root).reconcile()
+    by_date = cells.groupBy("subject", "event_date").agg(F.sum("rows").cast("bigint").alias("rows"), F.min("ok").alias("ok"))
+    return by_date.where("rows != 0")
+
+
 @table_query
 def stream_retention(spark, sf_dir):
     """The served minutes after those before the horizon have expired."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtally.session import cut_lineage, working_dir
@@ -20,6 +20,9 @@ DAY = timedelta(hours=24)
 #: Keys with at most this many rows are folded as one sorted array.
 HOT_ROWS = 4096
 
+#: Times at which the cells of larger keys are split.
+SLICES = 256
+
 
 def suppress_repeats(
     events: DataFrame,
@@ -78,39 +81,108 @@ def _fold(events: DataFrame, key: str, ts: str, order: str, window: timedelta) -
 
 
 def _by_cell(events: DataFrame, key: str, ts: str, order: str, window: timedelta) -> DataFrame:
-    """Hot keys, one time cell after the other.
+    """Hot keys, by maps from cell to cell that are composed as a tree.
+
+    A cell's accepted event depends only on that of the cell before, so a cell is a map: from an event accepted
+    there (or none) to the first event here that is late enough (or none). Two neighbouring blocks of cells compose
+    to one map, whose domain is that of the first. So the blocks double from round to round while the rows halve,
+    and the way back down tells each block what was accepted before it. The number of jobs grows with the
+    logarithm of the days, and the rows written are some twice those of the keys.
 
-    A cell's work is a minimum per key with map-side combine, so the size of a key
-    does not matter. The loop is over cells (days), never over rows, and carries
-    one row per hot key. The rows are written once, by cell, and each step reads
-    its own cell only.
+    Within a cell the search for the first late event is split at SLICES fixed times, so no sort holds a whole cell.
     """
-    spark = events.sparkSession
+    events = _kept(events, "suppression")
     width = window // timedelta(microseconds=1)
-    path = working_dir(spark, "suppression")
-    cell = F.floor(F.unix_micros(ts) / F.lit(width)).cast("bigint")
-    events.withColumn("_cell", cell).write.partitionBy("_cell").parquet(path)
-    rows = spark.read.parquet(path).withColumn("_cell", F.col("_cell").cast("bigint"))
-    cells = sorted(r[0] for r in rows.select("_cell").distinct().collect())
-
-    kept = working_dir(spark, "suppression-kept")
-    previous, previous_cell = None, None
-    for number in cells:
-        here = rows.where(F.col("_cell") == number)
-        if previous is not None and previous_cell == number - 1:
-            free = F.col("_last").isNull() | (F.col(ts) >= F.col("_last") + F.lit(window))
-            here = here.join(previous, key, "left").where(free)
-        first = here.groupBy(key).agg(F.min(F.struct(ts, order)).alias("_first"))
-        step = f"{kept}/_cell={number}"
-        first.select(key, f"_first.{ts}", f"_first.{order}").write.parquet(step)
-        previous = spark.read.parquet(step).select(key, F.col(ts).alias("_last"))
-        previous_cell = number
-
-    accepted = spark.read.parquet(kept).select(key, ts, order, F.lit(True).alias("accepted"))
+    micros = F.unix_micros(ts)
+    rows = events.select(
+        F.col(key).alias("key"),
+        F.floor(micros / F.lit(width)).cast("bigint").alias("cell"),
+        F.floor(F.pmod(micros, F.lit(width)) * SLICES / F.lit(width)).cast("int").alias("slice"),
+        F.struct(F.col(ts).alias("ts"), F.col(order).alias("order")).alias("event"),
+    )
+    first, last = rows.agg(F.min("cell"), F.max("cell")).first()
+    rows = rows.withColumn("cell", F.col("cell") - F.lit(first))
+    levels = [_kept(_cell_maps(rows, window), "suppression-maps")]
+    rounds = int(last - first).bit_length()
+    for _ in range(rounds):
+        levels.append(_kept(_composed(levels[-1]), "suppression-maps"))
+
+    # down again: what was accepted before each block that holds events
+    cells = _kept(rows.select("key", "cell").distinct(), "suppression-cells")
+    before = cells.select("key").distinct().select("key", F.lit(0).cast("bigint").alias("block"), _no_event(rows).alias("state"))
+    for number in range(rounds - 1, -1, -1):
+        halves = before.select("key", (F.col("block") * 2).alias("block"), "state")
+        second = _applied(halves, levels[number]).select("key", (F.col("block") + 1).alias("block"), F.col("to").alias("state"))
+        full = cells.select("key", F.shiftright("cell", number).alias("block")).distinct()
+        before = _kept(halves.unionByName(second).join(full, ["key", "block"], "left_semi"), "suppression-states")
+    accepted = _applied(before, levels[0]).where(F.col("to").isNotNull()).select(
+        F.col("key").alias(key), F.col("to.ts").alias(ts), F.col("to.order").alias(order), F.lit(True).alias("accepted")
+    )
     # (key, ts, order) names a row up to equal ones, of which the first counts; the key alone would send all its rows
     # to one task.
     equal = Window.partitionBy(key, ts, order).orderBy(order)
-    numbered = rows.withColumn("_copy", F.row_number().over(equal))
+    numbered = events.withColumn("_copy", F.row_number().over(equal))
     return numbered.join(accepted, [key, ts, order], "left").select(
         key, ts, order, (F.coalesce("accepted", F.lit(False)) & (F.col("_copy") == 1)).alias("accepted")
     )
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read again."""
+    path = working_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _no_event(rows: DataFrame) -> Column:
+    return F.lit(None).cast(rows.schema["event"].dataType)
+
+
+def _cell_maps(rows: DataFrame, window: timedelta) -> DataFrame:
+    """``key, block, is_default, state, to``: each cell's map from what was accepted in the cell before.
+
+    A state without a row goes where the block's default goes, and to no event where there is none.
+    """
+    moved = F.struct((F.col("event.ts") + F.lit(window)).alias("ts"), F.col("event.order").alias("order"))
+    here = rows.select("key", "cell", "slice", F.lit(1).alias("kind"), F.col("event.ts").alias("at"), "event")
+    ahead = rows.select("key", (F.col("cell") + 1).alias("cell"), "slice", F.lit(0).alias("kind"), moved["ts"].alias("at"), "event")
+    # a state that waits until the time of an event lets it pass, so it sorts before it
+    both = here.unionByName(ahead.distinct())
+    own = F.when(F.col("kind") == 1, F.col("event"))
+    latest_first = Window.partitionBy("key", "cell", "slice").orderBy(F.desc("at"), F.desc("kind"))
+    next_here = F.min(own).over(latest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    slices = both.groupBy("key", "cell", "slice").agg(F.min(own).alias("first"))
+    later = Window.partitionBy("key", "cell").orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    after = slices.select("key", "cell", "slice", F.min("first").over(later).alias("next_after"))
+    found = both.withColumn("next", next_here).where(F.col("kind") == 0).join(after, ["key", "cell", "slice"])
+    explicit = found.select("key", F.col("cell").alias("block"), F.col("event").alias("state"), F.coalesce("next", "next_after").alias("to"))
+    fresh = slices.groupBy("key", "cell").agg(F.min("first").alias("to")).select(
+        "key", F.col("cell").alias("block"), _no_event(rows).alias("state"), "to"
+    )
+    known = explicit.unionByName(fresh).where(F.col("to").isNotNull())
+    return known.select("key", "block", F.lit(False).alias("is_default"), "state", "to")
+
+
+def _applied(asked: DataFrame, maps: DataFrame) -> DataFrame:
+    """``asked`` (key, block, state, ...) with ``to``, where the block's map takes the state."""
+    explicit = maps.where(~F.col("is_default")).select(
+        F.col("key").alias("_key"), F.col("block").alias("_block"), F.col("state").alias("_state"), F.col("to").alias("_to"), F.lit(True).alias("_hit")
+    )
+    default = maps.where("is_default").select("key", "block", F.col("to").alias("_default"))
+    same = (F.col("key") == F.col("_key")) & (F.col("block") == F.col("_block")) & F.col("state").eqNullSafe(F.col("_state"))
+    found = asked.join(explicit, same, "left").join(default, ["key", "block"], "left")
+    to = F.when(F.col("_hit"), F.col("_to")).otherwise(F.col("_default"))
+    return found.withColumn("to", to).drop("_key", "_block", "_state", "_to", "_hit", "_default")
+
+
+def _composed(maps: DataFrame) -> DataFrame:
+    """Maps of blocks twice as long. A block whose second half has no map leads to no event and has none either."""
+    pair = F.shiftright("block", 1)
+    second_half = F.col("block") % 2 == 1
+    pairs = maps.where(second_half).select("key", pair.alias("pair")).distinct()
+    left = maps.where(~second_half).select("key", pair.alias("pair"), "is_default", F.col("state").alias("from"), F.col("to").alias("state"))
+    default = pairs.join(left.where("is_default"), ["key", "pair"], "left").withColumn("is_default", F.lit(True))
+    explicit = left.where(~F.col("is_default")).join(pairs, ["key", "pair"], "left_semi")
+    asked = default.unionByName(explicit).withColumn("block", F.col("pair") * 2 + 1)
+    through = _applied(asked, maps)
+    return through.select("key", F.col("pair").alias("block"), "is_default", F.col("from").alias("state"), "to")

@@ -188,6 +188,7 @@ def project_batch(
     with_facts: bool,
     remember: timedelta | None,
     keep: timedelta | None = None,
+    with_digests: bool = False,
 ) -> None:
     """Write one micro-batch. Each table's directory is replaced as a whole.
 
@@ -213,6 +214,8 @@ def project_batch(
     store.write(S.LEDGER, batch_id, batch_ledger(lives, remember))
     ledger = store.one(S.LEDGER, batch_id)
     store.write(S.MINUTES, batch_id, minute_campaign(ledger))
+    if with_digests:
+        store.write(S.DIGESTS, batch_id, store.layer_digests(batch_id))
     # Written last: its presence says that the batch is complete.
     progress = ledger.agg(F.max("seq").alias("last_seq"), F.count("*").alias("changes"))
     store.write(
@@ -234,9 +237,12 @@ def start(
     compact_every: int | None = 100,
     keep: timedelta | None = None,
     late: timedelta = LATE,
+    with_digests: bool = False,
 ) -> StreamingQuery:
     """Start the projection of a stream of changes into a :class:`BatchStore` at ``root``.
 
+    ``with_digests`` leaves digests of what each batch wrote, for ``BatchStore.reconcile``.
+
     ``keep`` bounds the keyed state to ids of about twice that time; results are the same.
     It is part of the checkpoint, like the width of the state.
 
@@ -247,7 +253,7 @@ def start(
 
     def sink(lives: DataFrame, batch_id: int) -> None:
         store = S.BatchStore(lives.sparkSession, root)
-        project_batch(store, lives, batch_id, with_facts, remember, keep)
+        project_batch(store, lives, batch_id, with_facts, remember, keep, with_digests)
         if compact_every and batch_id % compact_every == compact_every - 1:
             store.compact()
             for table in S.KEPT:

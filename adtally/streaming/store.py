@@ -14,12 +14,15 @@ is there, and a version that an older generation adds later is not read.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtally.operators import digests
 from adtally.operators.attribution import deltas_from_facts
+from adtally.operators.reconcile import snapshot_diff
 from adtally.plans.cover import LEVELS, LOOSE, levels_of
 from adtally.plans.metrics import any_count, sums
 from adtally.plans.rollup import minute_campaign
@@ -31,6 +34,8 @@ BID_FACTS = "bids"
 IMPRESSION_FACTS = "impressions"
 CHANGE_LOG = "change_log"
 PROGRESS = "progress"
+#: Digests of what a batch wrote to each layer (see ``adtally.operators.digests``).
+DIGESTS = "digests"
 COMPACTED = "compacted"
 #: What expired minutes add to the totals for all time, by the version that dropped them.
 EXPIRED = "expired"
@@ -44,7 +49,7 @@ REBUILT = "rebuilt"
 MERGED = "merged"
 
 #: Tables of which no row ever goes.
-KEPT = (LEDGER, BID_FACTS, IMPRESSION_FACTS, CHANGE_LOG)
+KEPT = (LEDGER, BID_FACTS, IMPRESSION_FACTS, CHANGE_LOG, DIGESTS)
 
 _COUNTER_DDL = ", ".join(f"{name} BIGINT" for name in COUNTERS)
 _FACT_TAIL = "raw_json STRING, ingested_at TIMESTAMP, seq BIGINT, event_date DATE"
@@ -62,6 +67,7 @@ SCHEMAS = {
     ),
     IMPRESSION_FACTS: f"bid_id STRING, event_ts TIMESTAMP, {_FACT_TAIL}",
     CHANGE_LOG: "seq BIGINT, event_type STRING, entity_id STRING, event_ts TIMESTAMP, payload STRING",
+    DIGESTS: "subject STRING, layer STRING, event_date DATE, bucket INT, rows BIGINT, low BIGINT, high BIGINT",
     PROGRESS: "projected_at TIMESTAMP, last_seq BIGINT, changes BIGINT",
 }
 
@@ -262,6 +268,67 @@ class BatchStore:
             path, files = self._files(location)
             files.delete(path, True)
 
+    # ---- agreement of the layers -------------------------------------------
+
+    def layer_digests(self, batch_id: int | None = None, dates: list | None = None) -> DataFrame:
+        """Digests of the stored layers as they are now: of one batch, or of all (or some dates).
+
+        The minutes of all batches are the served ones.
+        """
+
+        def rows(table: str, ts: str) -> DataFrame:
+            if batch_id is not None:
+                return self.one(table, batch_id)
+            found = self.minute_campaign() if table == MINUTES else self.read(table)
+            if dates is None:
+                return found
+            wanted = F.to_date(ts).isin(dates)
+            return found.where(wanted & F.col("event_date").isin(dates)) if "event_date" in found.columns else found.where(wanted)
+
+        layers = [digests.of_ledger(rows(LEDGER, "event_ts")), digests.of_minutes(rows(MINUTES, "minute_ts"))]
+        if self._exists(f"{self.root}/{BID_FACTS}"):
+            layers.append(digests.of_facts(rows(BID_FACTS, "event_ts"), rows(IMPRESSION_FACTS, "event_ts")))
+            layers.append(digests.of_change_log(rows(CHANGE_LOG, "event_ts")))
+        return digests.added(reduce(DataFrame.unionByName, layers))
+
+    def reconcile(self) -> DataFrame:
+        """``subject, event_date, bucket, rows, ok`` from the digests that the batches left; no layer is read."""
+        return digests.compare(self.read(DIGESTS))
+
+    def drift(self, dates: list | None = None) -> DataFrame:
+        """Where stored layers are no longer what their batches wrote: lost or damaged files, wrong compactions.
+
+        ``dates`` limits what is read to them.
+        """
+        written = self.read(DIGESTS)
+        written = written if dates is None else written.where(F.col("event_date").isin(dates))
+        some = "rows != 0 OR low != 0 OR high != 0"
+        now, then = self.layer_digests(dates=dates).where(some), digests.added(written).where(some)
+        return snapshot_diff(now, then)
+
+    def differing_rows(self, subject: str) -> DataFrame:
+        """``bid_id, event_ts, side, copies`` of the facts (left) and the ledger (right) in the cells that differ.
+
+        ``subject`` is bids or impressions. Only the dates and buckets of those cells are read.
+        """
+        cells = self.reconcile().where(~F.col("ok") & (F.col("subject") == subject)).select("event_date", "bucket")
+        dates = [row[0] for row in cells.select("event_date").distinct().collect()]
+        if not dates:
+            return self.spark.createDataFrame([], "bid_id STRING, event_ts TIMESTAMP, side STRING, copies BIGINT")
+        first, after = min(dates), max(dates) + timedelta(days=1)
+        near = (F.col("event_ts") >= F.lit(first).cast("timestamp")) & (F.col("event_ts") < F.lit(after).cast("timestamp"))
+
+        def there(rows: DataFrame) -> DataFrame:
+            keyed = rows.withColumns({"event_date": F.to_date("event_ts"), "bucket": digests.bucket_of("bid_id")})
+            return keyed.join(cells, ["event_date", "bucket"], "left_semi")
+
+        table, weight = (BID_FACTS, F.col(COUNTERS[0])) if subject == "bids" else (IMPRESSION_FACTS, F.col(COUNTERS[1]) + F.col(COUNTERS[2]))
+        facts = self.read(table).where(F.col("event_date").isin(dates) & near)
+        ledger = there(self.read(LEDGER).where(near & (weight != 0)))
+        # a correction takes back the row it corrects
+        ledger = ledger.groupBy("bid_id", "event_ts").agg(F.sum(weight).alias("n")).where("n != 0")
+        return snapshot_diff(there(facts).select("bid_id", "event_ts"), ledger.select("bid_id", "event_ts"))
+
     def freshness(self) -> DataFrame:
         """When the last projected batch was written."""
         return self.read(PROGRESS).agg(F.max("projected_at").alias("last_projected_at"))

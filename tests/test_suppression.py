@@ -66,3 +66,33 @@ def test_a_key_with_most_rows(spark):
     rows = [("hot" if n % 3 == 0 else f"k{n % 50}", n, (n * 37) % (6 * 24 * 60)) for n in range(3000)]
     df = suppress_repeats(frame(spark, rows), hot_rows=200)
     assert accepted(df) == expected(rows)
+
+
+def test_many_cells_with_gaps_and_ties(spark):
+    """Blocks without events, events a whole window apart to the microsecond, and many of one time."""
+    import random
+
+    rng = random.Random(5)
+    rows, seq = [], 0
+    for key in "ab":
+        for day in sorted(rng.sample(range(70), 30)) + [200, 201, 203]:
+            for minute in rng.sample(range(24 * 60), 4) + [0, 0, 1439]:
+                rows.append((key, seq, day * 24 * 60 + minute))
+                seq += 1
+    df = suppress_repeats(frame(spark, rows), hot_rows=1)
+    assert df.count() == len(rows)
+    assert accepted(df) == expected(rows)
+
+
+def test_jobs_do_not_grow_with_the_days(spark):
+    def jobs(days):
+        rows = [("hot", n, n * 7 * 60) for n in range(days * 24 // 7)]
+        tracker, group = spark.sparkContext.statusTracker(), f"cells-{days}"
+        spark.sparkContext.setJobGroup(group, group)
+        assert accepted(suppress_repeats(frame(spark, rows), hot_rows=10)) == expected(rows)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    few, many = jobs(30), jobs(240)
+    # three rounds more, each up and down
+    assert many - few <= 3 * 2 * 6
