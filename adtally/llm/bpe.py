@@ -17,10 +17,10 @@ has columns of its own, so other columns cannot clash.
 from __future__ import annotations
 
 import base64
-import heapq
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ from adtally.llm.common import raw_texts, slices
 #: Distinct chunks, and distinct pre-tokens, whose ids a worker remembers.
 MEMO_CHUNKS = 150_000
 MEMO_PIECES = 350_000
+#: Fixed value: the first character behind the Latin letters.
+LATIN_END = "\u0250"
 
 
 class PerfectHash:
@@ -99,13 +101,15 @@ class Vocabulary:
         self.rank_at = [ranks[key] for key in self.perfect.keys]
         self.tokens = {rank: key for key, rank in ranks.items()}
         self.bytes_ids = [ranks[bytes([b])] for b in range(256)]
-        #: The rank of two joined tokens, by their two ids.
-        self.pairs: dict[int, int] = {}
+        #: The rank of two joined tokens, by the left one's id, then the right one's.
+        self.joined: list[dict[int, int]] = [{} for _ in range(max(ranks.values()) + 1)]
         for key, rank in ranks.items():
             for cut in range(1, len(key)):
                 left, right = ranks.get(key[:cut]), ranks.get(key[cut:])
                 if left is not None and right is not None:
-                    self.pairs[left << 32 | right] = rank
+                    self.joined[left][right] = rank
+        #: The same for two bytes, by both.
+        self.joined_bytes = [self.joined[a].get(b) for a in self.bytes_ids for b in self.bytes_ids]
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Vocabulary:
@@ -130,32 +134,37 @@ class Encoder:
 
     def merge(self, piece: bytes) -> list[int]:
         """Tier 2: merge linked bytes, best pair first."""
-        rank_of, push, pop = self.v.pairs.get, heapq.heappush, heapq.heappop
-        n = len(piece)
-        ids = list(map(self.v.bytes_ids.__getitem__, piece))
+        v, n = self.v, len(piece)
+        joined, joined_bytes, bits = v.joined, v.joined_bytes, n.bit_length()
+        place = (1 << bits) - 1
+        ids = [v.bytes_ids[b] for b in piece]
+        #: The rank of the pair that begins at a place now; what the heap holds of earlier pairs no longer counts.
+        ranks = [joined_bytes[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        heap = [rank << bits | i for i, rank in enumerate(ranks) if rank is not None]
+        heapify(heap)
+        ranks.append(None)
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        found = map(rank_of, [a << 32 | b for a, b in zip(ids, ids[1:])])
-        heap = [rank << 32 | i for i, rank in enumerate(found) if rank is not None]
-        heapq.heapify(heap)
         while heap:
-            best = pop(heap)
-            rank, i = best >> 32, best & 0xFFFFFFFF
-            left, j = ids[i], after[i]
-            if left < 0 or j >= n or rank_of(left << 32 | ids[j]) != rank:
-                continue  # one of the two has been merged since
-            ids[i], ids[j] = rank, -1
+            best = heappop(heap)
+            rank, i = best >> bits, best & place
+            if ranks[i] != rank:
+                continue
+            j = after[i]
             k = after[i] = after[j]
+            ids[i], ids[j], ranks[j] = rank, -1, None
             if k < n:
                 before[k] = i
-                other = rank_of(rank << 32 | ids[k])
+                ranks[i] = other = joined[rank].get(ids[k])
                 if other is not None:
-                    push(heap, other << 32 | i)
+                    heappush(heap, other << bits | i)
+            else:
+                ranks[i] = None
             h = before[i]
             if h >= 0:
-                other = rank_of(ids[h] << 32 | rank)
+                ranks[h] = other = joined[ids[h]].get(rank)
                 if other is not None:
-                    push(heap, other << 32 | h)
+                    heappush(heap, other << bits | h)
         return [x for x in ids if x >= 0]
 
     def piece(self, text: str) -> bytes:
@@ -175,25 +184,23 @@ class Encoder:
     def text(self, text: str) -> bytes:
         if not text:
             return b""
-        first, *rest = text.split(" ")
-        chunks = [first, *[" " + x for x in rest]]
-        try:
-            return b"".join(map(self.chunks.__getitem__, chunks))
-        except KeyError:
-            pass
-        last = len(chunks) - 1
-        for i, chunk in enumerate(chunks):
-            if chunk not in self.chunks:
-                bare = chunk[1:] if i else chunk
-                if not bare or bare[0].isspace() or bare[-1].isspace():
-                    if not (i == 0 and not last):
-                        return b"".join(map(self.piece, self.find(text)))
-                if len(chunk) > 64:
-                    return b"".join(map(self.piece, self.find(text)))
-                if len(self.chunks) >= MEMO_CHUNKS:
-                    self.chunks = {}
+        chunks = text.split(" ")
+        chunks[1:] = [" " + x for x in chunks[1:]]
+        new = set(chunks).difference(self.chunks)
+        if new:
+            if len(self.chunks) + len(new) > MEMO_CHUNKS:
+                self.chunks = {}
+                new = set(chunks)
+            for chunk in new:
+                # a blank is the first character of all chunks but a text's first
+                bare = chunk[1:] if chunk[:1] == " " else chunk
+                if not bare or len(chunk) > 64 or bare[0].isspace() or bare[-1].isspace():
                     return b"".join(map(self.piece, self.find(text)))
-                self.chunks[chunk] = b"".join(map(self.piece, self.find(chunk)))
+            for chunk in new:
+                # letters alone are one pre-token; those of Latin script are so in every version of Unicode
+                bare = chunk[1:] if chunk[:1] == " " else chunk
+                plain = max(bare) < LATIN_END and bare.isalpha()
+                self.chunks[chunk] = self.piece(chunk) if plain else b"".join(map(self.piece, self.find(chunk)))
         return b"".join(map(self.chunks.__getitem__, chunks))
 
 
