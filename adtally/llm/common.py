@@ -31,6 +31,14 @@ def working_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def own_names(docs: DataFrame, used: tuple[str, ...], run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """run(docs), with the columns but those ``used`` under names that nothing else has; they get theirs back after it."""
+    names = {c: f"_given{i}" for i, c in enumerate(docs.columns) if c not in used}
+    back = {n: c for c, n in names.items()}
+    out = run(docs.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in docs.columns]))
+    return out.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in out.columns])
+
+
 def count_words(text: Column) -> Column:
     """Words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -79,12 +87,14 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 IN_WORD = ~_SEPARATOR
 
 
-def cut(texts: list[bytes], inside: np.ndarray, fold: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+def cut(
+    texts: list[bytes], inside: np.ndarray, fold: np.ndarray | None = None, between: bytes = b"\n"
+) -> tuple[pa.Array, np.ndarray]:
     """All runs of bytes marked ``inside``, of all texts in order, and how many each text has; bytes go through ``fold``.
 
-    A line feed must not be marked: it parts the texts.
+    The byte ``between`` parts the texts, so it must not be marked.
     """
-    data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
+    data = np.frombuffer(between.join(texts) + between, dtype=np.uint8)
     mark = np.zeros(len(data) + 1, dtype=np.int8)
     mark[1:] = inside[data]
     step = np.diff(mark)

@@ -17,7 +17,7 @@ shuffle, so one line in a third of all documents costs a row per task), and plac
 
 Nulls and edge cases: a null text stays null, an empty one empty; a text whose lines all go is empty. A null
 doc_id comes before others. Repeated rows (equal doc_id and text) are one document, stay repeated, and are treated
-alike; rows of one doc_id with different texts are different documents. Lines repeated within a document go as
+alike; very long texts are compared whole; rows of one doc_id with different texts are different documents. Lines repeated within a document go as
 well. An empty table gives an empty one. Other columns pass through untouched.
 """
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import WORD, let, working_table
+from adtally.llm.common import WORD, let, own_names, working_table
 
 #: Words a run has at least.
 MIN_WORDS = 50
@@ -146,11 +146,15 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> D
 
     If docs has columns of these names, the new ones take their place; without counts its own stay.
     """
+    kept = docs.drop("n_lines", "n_deleted") if counts else docs
+    return own_names(kept, ("doc_id", "text"), lambda plain: _dedup(plain, min_words, counts))
+
+
+def _dedup(docs: DataFrame, min_words: int, counts: bool) -> DataFrame:
     found = working_table(deletions(docs, min_words), "line-deletions").select(
         F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("spans").alias("__spans")
     )
-    kept_columns = [c for c in docs.columns if not (counts and c in ("n_lines", "n_deleted"))]
-    keyed = docs.select(*kept_columns, F.col("doc_id").cast("long").alias("__doc"), F.xxhash64("text").alias("__text_hash"))
+    keyed = docs.select(*docs.columns, F.col("doc_id").cast("long").alias("__doc"), F.xxhash64("text").alias("__text_hash"))
     # always shuffled: a broadcast where the deletions happen to be few would only hide what a larger corpus needs
     joined = keyed.join(
         found.hint("merge"), F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__version")), "left"
@@ -166,7 +170,7 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> D
     marked = joined.withColumn("__gone", gone)
     n_lines = F.size(F.split("text", "\n", -1))
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(let(F.split("text", "\n", -1), rest))
-    out = [text.alias(c) if c == "text" else F.col(c) for c in kept_columns]
+    out = [text.alias(c) if c == "text" else F.col(c) for c in docs.columns]
     if not counts:
         return marked.select(*out)
     return marked.select(

@@ -21,7 +21,7 @@ numbers are seeded by its name, so the result depends on the data and the seed,
 Nulls and edge cases: a null or empty text has size 0; a null source is a source of its own, ordered
 last; a null doc_id is a value like others. Repeated rows are separate documents; which of equal rows
 comes twice does not matter. An empty table gives an empty result. A source of size 0 has target 0 and is
-not taken. Only the named columns are read.
+not taken. A very long text is a document of its size, counted whole. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.llm.common import count_words, working_table
+from adtally.llm.common import count_words, own_names, working_table
 
 #: Weights of the sources in their order, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -282,6 +282,10 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
     Rows equal in doc_id, source and size are alike to the plan, so decisions and rows are paired by
     rank among them.
     """
+    return own_names(docs, ("doc_id", "source", "text"), lambda plain: _mix(plain, **settings))
+
+
+def _mix(docs: DataFrame, **settings) -> DataFrame:
     decisions = plan(docs, **settings)
     keys = ["__id", "__source", "__size"]
     named = decisions.select(
