@@ -6,11 +6,12 @@ whose best pair (lowest rank, then leftmost) is taken from a heap until no pair
 
 The pattern never matches across a single blank between two characters that are not white space,
 except with that blank in front. So a text with only such blanks falls into chunks, and the ids of a
-chunk do not depend on its neighbours; a worker remembers those it has met. Other texts are split by the
-pattern as a whole.
+chunk do not depend on its neighbours. The chunks of a slice of texts are numbered by Arrow, the distinct ones are
+encoded (a worker remembers those it has met), and the ids of all places are gathered by those numbers; decoding
+gathers the bytes of all ids likewise. Other texts are split by the pattern as a whole.
 
 Nulls and edge cases: a null text is empty; an empty text has no ids and decodes to no bytes. Repeated
-rows give repeated results, an empty table an empty one. Only the named columns are read, and the result
+rows give repeated results, an empty table an empty one. Very long texts are encoded whole. Only the named columns are read, and the result
 has columns of its own, so other columns cannot clash.
 """
 
@@ -29,13 +30,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import raw_texts, slices
+from adtally.llm.common import cut, raw_texts, slices
 
 #: Distinct chunks, and distinct pre-tokens, whose ids a worker remembers.
 MEMO_CHUNKS = 150_000
 MEMO_PIECES = 350_000
 #: Fixed value: the first character behind the Latin letters.
 LATIN_END = "\u0250"
+#: Bytes of a chunk.
+NOT_BLANK = np.arange(256) != 32
 
 
 class PerfectHash:
@@ -129,7 +132,8 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.find = regex.compile(vocabulary.pattern).findall
-        self.chunks: dict[str, bytes] = {}
+        self.decoder = Decoder(vocabulary.tokens)
+        self.chunks: dict[bytes, bytes | None] = {}
         self.pieces: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
@@ -181,27 +185,78 @@ class Encoder:
                 self.pieces[text] = found
         return found
 
+    def whole(self, text: bytes) -> bytes:
+        """Ids of a text that is split by the pattern as a whole."""
+        return b"".join(map(self.piece, self.find(text.decode())))
+
+    def chunk(self, bare: bytes) -> bytes | None:
+        """Ids of a blank and these characters; None if their pre-tokens can depend on what stands beside them."""
+        text = bare.decode()
+        if len(bare) > 64 or text[0].isspace() or text[-1].isspace():
+            return None
+        # letters alone are one pre-token; those of Latin script are so in every version of Unicode
+        if max(text) < LATIN_END and text.isalpha():
+            return self.piece(" " + text)
+        return b"".join(map(self.piece, self.find(" " + text)))
+
+    def texts(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text, as little-endian numbers of four bytes."""
+        chunks, counts = cut(texts, NOT_BLANK, between=b" ")
+        if not len(chunks):
+            return [self.whole(text) for text in texts]
+        coded = chunks.dictionary_encode()
+        distinct, number = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if len(self.chunks) + len(distinct) > MEMO_CHUNKS:
+            self.chunks = {}
+        known = self.chunks
+        for bare in distinct:
+            if bare not in known:
+                known[bare] = self.chunk(bare)
+        found = [known[bare] for bare in distinct]
+        # texts with one blank between any two chunks, none at the ends, and no chunk that depends on others
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        sizes = np.frombuffer(chunks.buffers()[1], np.int32)[: len(chunks) + 1].astype(np.int64)
+        blanks = np.array([len(t) for t in texts]) - (sizes[upto[1:]] - sizes[upto[:-1]])
+        bad = np.concatenate([[0], np.cumsum(np.array([x is None for x in found])[number])])
+        plain = (counts > 0) & (blanks == counts - 1) & (bad[upto[1:]] == bad[upto[:-1]])
+        table = Table([x or b"" for x in found], np.uint32)
+        ends = np.concatenate([[0], np.cumsum(table.length[number])]) * 4
+        ids = memoryview(table.gathered(number))
+        out = []
+        for i, text in enumerate(texts):
+            if not plain[i]:
+                out.append(self.whole(text))
+                continue
+            # a text's first chunk has no blank
+            first, last = upto[i], upto[i + 1]
+            head = self.whole(distinct[number[first]])
+            out.append(head + ids[ends[first + 1] : ends[last]])
+        return out
+
+
     def text(self, text: str) -> bytes:
-        if not text:
-            return b""
-        chunks = text.split(" ")
-        chunks[1:] = [" " + x for x in chunks[1:]]
-        new = set(chunks).difference(self.chunks)
-        if new:
-            if len(self.chunks) + len(new) > MEMO_CHUNKS:
-                self.chunks = {}
-                new = set(chunks)
-            for chunk in new:
-                # a blank is the first character of all chunks but a text's first
-                bare = chunk[1:] if chunk[:1] == " " else chunk
-                if not bare or len(chunk) > 64 or bare[0].isspace() or bare[-1].isspace():
-                    return b"".join(map(self.piece, self.find(text)))
-            for chunk in new:
-                # letters alone are one pre-token; those of Latin script are so in every version of Unicode
-                bare = chunk[1:] if chunk[:1] == " " else chunk
-                plain = max(bare) < LATIN_END and bare.isalpha()
-                self.chunks[chunk] = self.piece(chunk) if plain else b"".join(map(self.piece, self.find(chunk)))
-        return b"".join(map(self.chunks.__getitem__, chunks))
+        return self.texts([text.encode()])[0]
+
+
+class Table:
+    """Byte strings end to end, of which many are gathered at once, in the order of their numbers."""
+
+    WINDOW = 1 << 17
+
+    def __init__(self, values: list[bytes], kind: type = np.uint8):
+        self.flat = np.frombuffer(b"".join(values), dtype=np.dtype(kind).newbyteorder("<"))
+        self.length = np.array([len(x) for x in values], dtype=np.int64) // np.dtype(kind).itemsize
+        self.start = np.cumsum(self.length) - self.length
+
+    def gathered(self, numbers: np.ndarray) -> bytes:
+        out = []
+        for at in range(0, len(numbers), self.WINDOW):
+            part = numbers[at : at + self.WINDOW]
+            length = self.length[part]
+            ends = np.cumsum(length)
+            places = np.repeat(self.start[part] - ends + length, length) + np.arange(ends[-1])
+            out.append(self.flat[places].tobytes())
+        return b"".join(out)
 
 
 _HELD: list[Encoder] = []
@@ -230,17 +285,29 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", doc_id:
         coder = _encoder(shared)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [coder.text(t.decode()) for t in raw_texts(part["text"])]
+                ids = coder.texts(raw_texts(part["text"]))
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, ENCODED)
 
 
-def texts_of(ids: list[bytes], tokens: dict[int, bytes]) -> list[bytes]:
-    """The bytes that packed ids stand for; an unknown id raises KeyError."""
-    token = tokens.__getitem__
-    return [b"".join(map(token, np.frombuffer(x, dtype="<u4").tolist())) for x in ids]
+class Decoder:
+    def __init__(self, tokens: dict[int, bytes]):
+        self.table = Table([tokens.get(i, b"") for i in range(max(tokens) + 1)])
+
+    def texts(self, ids: list[bytes]) -> list[bytes]:
+        """The bytes that packed ids stand for; an unknown id raises KeyError."""
+        every = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int64)
+        table = self.table
+        if len(every):
+            strange = every[(every >= len(table.length)) | (table.length[np.minimum(every, len(table.length) - 1)] == 0)]
+            if len(strange):
+                raise KeyError(int(strange[0]))
+        ends = np.concatenate([[0], np.cumsum(table.length[every])])
+        data = table.gathered(every)
+        upto = np.cumsum([0] + [len(x) // 4 for x in ids])
+        return [data[a:b] for a, b in zip(ends[upto[:-1]].tolist(), ends[upto[1:]].tolist())]
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -248,9 +315,10 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary.tokens)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(shared.value)
         for batch in batches:
             for part in slices(batch, "ids"):
-                texts = texts_of(raw_texts(part["ids"]), shared.value)
+                texts = decoder.texts(raw_texts(part["ids"]))
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["ids"], pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"]
                 )
@@ -266,8 +334,8 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = False)
         coder = _encoder(shared)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [coder.text(t.decode()) for t in raw_texts(part["text"])]
-                texts = texts_of(ids, coder.v.tokens)
+                ids = coder.texts(raw_texts(part["text"]))
+                texts = coder.decoder.texts(ids)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], pa.array(ids, pa.binary()), pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"]
                 )

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -113,3 +114,15 @@ def test_shuffled_read_and_damage(spark, documents, tmp_path):
     shard.write_bytes(data[:-3])
     with pytest.raises(Exception):
         binary.read_records(spark, f"file://{root}").collect()
+
+
+def test_bpe_of_many_texts_at_once(vocabulary, plain):
+    """Texts of a slice share their chunks; those with odd blanks are split as a whole beside them."""
+    rng = random.Random(1)
+    pieces = list(" \n\t'sa1\x1c\x85é日　ß.,-") + ["  ", " \n", "\r\n", "'ll", "don't", "  x", "word", " word", "x" * 70]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for _ in range(4000)]
+    got = bpe.Encoder(vocabulary).texts([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain.encode_ordinary(t) for t in texts]
+    assert bpe.Decoder(vocabulary.tokens).texts(got) == [t.encode() for t in texts]
+    with pytest.raises(KeyError):
+        bpe.Decoder(vocabulary.tokens).texts([bpe.packed([1, 60_000])])
