@@ -17,7 +17,7 @@ at a time, replaces the file by an equal one.
 
 Nulls and edge cases: a null text is empty and gives a record with the end id alone; a null
 doc_id is kept, first in order. Repeated rows give repeated records; rows of one doc_id are
-ordered by their text. An empty table writes no shard. Other columns are not read. Whether the
+ordered by their text. A very long text is one record. An empty table writes no shard. Other columns are not read. Whether the
 string of an added token in a text is one id or text is the caller's choice (`added`).
 """
 
@@ -212,8 +212,16 @@ def encoder(spec: str, added: bool = False) -> WordEncoder:
 # --- writing and reading ------------------------------------------------------------------
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """The root with the scheme that Spark gives it: a bare path lies on the default file system, not on this machine."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+    return f"file://{whole[5:]}" if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
 def _open_root(root: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+    """pyarrow's file system and path of a qualified root."""
+    return fs.FileSystem.from_uri(root)
 
 
 SHARDS = "shard int, records long, ids long, bytes long"
@@ -230,6 +238,7 @@ def write_records(
     """
     spark = docs.sparkSession
     spread = spark.sparkContext.broadcast(spec)
+    root = qualified(spark, root)
     system, path = _open_root(root)
     system.create_dir(path, recursive=True)
 
@@ -287,6 +296,7 @@ def read_records(spark: SparkSession, root: str) -> DataFrame:
     the manifest (one row for each file, so a few numbers for 128 MB of ids), plus the records
     before it in the shard.
     """
+    root = qualified(spark, root)
     manifest = spark.read.schema(SHARDS).parquet(f"{root}/manifest")
     n_shards = manifest.count()
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
