@@ -20,7 +20,7 @@ page has no other text.
 
 Nulls and edge cases: null and empty pages, and pages without an article, give an empty text. Broken
 markup (unclosed or stray tags, cut-off pages) is read as browsers do: a new paragraph closes an open
-one, a stray end tag is ignored. Repeated rows give repeated results; an empty table gives an empty one.
+one, a stray end tag is ignored. Very long pages are read whole. Repeated rows give repeated results; an empty table gives an empty one.
 Of other columns only page_id and url are read.
 """
 

@@ -11,7 +11,8 @@ gets a number for each statistic and bin.
 
 Nulls and edge cases: a null text has no words; it fails the base rule, as do other texts of less than 50 words.
 Labels without a value or without a document are not used; of repeated labels each counts. Without labels of
-both kinds there is no rule and the base rule decides alone. Repeated documents get equal results. Statistics
+both kinds there is no rule and the base rule decides alone. Repeated documents get equal results. Very long texts are counted whole. An empty
+table of documents gives an empty result, and an empty table of labels no rule. Statistics
 have names of their own, prefixed in wider tables, so columns of the documents cannot clash.
 
 Windows of three words are compared by 64-bit hashes within a text: at 20,000 words two different windows

@@ -22,7 +22,7 @@ Nulls and edge cases: a null or empty text is an index entry without terms and a
 documents that share a term with the query are answers, so there may be fewer than k. Equal scores (rounded to
 DIGITS) are ordered by doc_id, nulls last. Repeated rows are separate documents; a query's own row is an answer
 like others. Rows of one query_id are one query of all their words; a null
-query_id is no query. An empty table gives an empty result. Other
+query_id is no query. A very long text is indexed whole. An empty table gives an empty result. Other
 columns are not read.
 """
 

@@ -8,8 +8,8 @@ looked at (U). With the prior p of toxic documents, the risk of a scorer f under
 The second part is the risk on documents that are not toxic, corrected for the toxic ones among U. It can't
 be negative in truth, so where the estimate is, a step goes against it instead of fitting it.
 
-A document's features are scaled to length 1. They are words their first 4, 5 and 6 bytes (stems), A-Z lowered, signs as blanks. All
-that tell P from U are the classifier's; which do is counted over the whole training fold. labels, lang, source and doc_id are never features; a document is used
+A document's features are scaled to length 1. They are words and, of longer words, the first 4, 5 and 6 bytes (stems), with A-Z lowered
+and signs as blanks. All that tell P from U are the classifier's; which do is counted over the whole training fold. labels, lang, source and doc_id are never features; a document is used
 for learning only if crc32(doc_id as text) mod 3 is not 1.
 
 What is bounded: weights are learned from samples of P and U of at most MAX_POSITIVE and MAX_UNLABELLED training
@@ -19,7 +19,7 @@ them has keeps the weight 0. All documents are scored, each as a whole.
 Nulls and edge cases: a null or empty text has no features and gets the score of the constant alone. A null
 doc_id counts as the empty text in the fold rule. Labels without a value are no labels; of several labels of a
 document the highest counts. Without confirmed toxic documents every score is 0. Repeated rows get equal
-scores; an empty table gives an empty result. Other columns are not read.
+scores; very long texts are read whole; an empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
