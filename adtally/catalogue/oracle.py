@@ -392,6 +392,11 @@ ORACLE["attributed_impressions"] = _with(
     "SELECT bid_id, ts AS event_ts, COALESCE(campaign_id, 'UNKNOWN') AS campaign_id, "
     "bid_seq IS NOT NULL AS matched FROM attributed",
 )
+ORACLE["attributed_from_ledger"] = _with(
+    _FACTS,
+    "SELECT bid_id, ts AS event_ts, COALESCE(campaign_id, 'UNKNOWN') AS campaign_id, bid_seq IS NOT NULL AS matched "
+    f"FROM attributed WHERE {_range('ts', *DAYS_AND_MORE)}",
+)
 ORACLE["unmatched_bids"] = _with(
     _FACTS,
     "SELECT bid_id, seq FROM bids WHERE bid_id NOT IN (SELECT bid_id FROM imps) ORDER BY seq LIMIT 100",
@@ -547,6 +552,7 @@ ORACLE["correction_ledger"] = _with(
 ORACLE["stream_correction_ledger"] = ORACLE["correction_ledger"]
 ORACLE["stream_bounded_state"] = ORACLE["correction_ledger"]
 ORACLE["read_model_as_of"] = _with(_LEDGER, _campaigns(f"SELECT * FROM ledger WHERE seq <= {_HALF}"))
+ORACLE["as_of_from_store"] = ORACLE["read_model_as_of"]
 ORACLE["read_model_growth"] = _with(
     _LEDGER
     + f", daily AS (SELECT date_trunc('day', known_ts) AS known_ts, {_RAW_TOTALS} FROM ledger GROUP BY 1)",

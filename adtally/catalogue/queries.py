@@ -700,6 +700,20 @@ def stream_bounded_state(spark, sf_dir):
     return _projected(spark, sf_dir, keep=timedelta(days=5), late=timedelta(days=1)).read(S.LEDGER)
 
 
+@table_query
+def attributed_from_ledger(spark, sf_dir):
+    """Impressions of some days with their campaigns, from a stored ledger alone."""
+    return attribution.attributed_from_ledger(_projected(spark, sf_dir).read(S.LEDGER), *DAYS_AND_MORE)
+
+
+@table_query
+def as_of_from_store(spark, sf_dir):
+    """The campaigns as they stood after the first half, from a stored version and the ledger's rows behind it."""
+    store = _projected(spark, sf_dir)
+    half = tables.events(spark, sf_dir).agg(_halfway_seq(tables.events(spark, sf_dir)).alias("n")).first().n
+    return metrics.by_campaign(store.minute_campaign_as_of(half))
+
+
 @table_query
 def stream_levels(spark, sf_dir):
     """Minutes, hours and days that a projection maintains."""

@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.schemas import UNKNOWN
+from adtally.functions.times import as_utc
+from adtally.schemas import COUNTERS, UNKNOWN
 from adtally.sources.facts import range_scan
 
 
@@ -37,6 +38,24 @@ def attributed_impressions(impressions: DataFrame, bids: DataFrame) -> DataFrame
     )
 
 
+def attributed_from_ledger(ledger: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """The impressions of ``[start, end)`` as :func:`attributed_impressions` gives them, from stored ledger rows.
+
+    The ledger has settled each impression's campaign already, under the impression's own time. So a range reads the
+    ledger's rows of that range and no bid, however old; a correction cancels the row it corrects.
+    """
+    start, end = as_utc(start), as_utc(end)
+    rows = ledger.where((F.col("event_ts") >= F.lit(start)) & (F.col("event_ts") < F.lit(end)))
+    matched, unknown = F.sum(COUNTERS[1]), F.sum(COUNTERS[2])
+    return (
+        rows.where((F.col(COUNTERS[1]) != 0) | (F.col(COUNTERS[2]) != 0))
+        .groupBy("bid_id", "event_ts", "campaign_id")
+        .agg((matched + unknown).alias("_n"), (matched > 0).alias("matched"))
+        .where("_n != 0")
+        .select("bid_id", "event_ts", "campaign_id", "matched")
+    )
+
+
 def deltas_from_facts(
     bids: DataFrame,
     impressions: DataFrame,

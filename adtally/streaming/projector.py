@@ -238,6 +238,7 @@ def start(
     keep: timedelta | None = None,
     late: timedelta = LATE,
     with_digests: bool = False,
+    snapshot_every: int | None = None,
 ) -> StreamingQuery:
     """Start the projection of a stream of changes into a :class:`BatchStore` at ``root``.
 
@@ -252,7 +253,7 @@ def start(
     """
 
     def sink(lives: DataFrame, batch_id: int) -> None:
-        store = S.BatchStore(lives.sparkSession, root)
+        store = S.BatchStore(lives.sparkSession, root, snapshot_every)
         project_batch(store, lives, batch_id, with_facts, remember, keep, with_digests)
         if compact_every and batch_id % compact_every == compact_every - 1:
             store.compact()

@@ -49,7 +49,7 @@ REBUILT = "rebuilt"
 MERGED = "merged"
 
 #: Tables of which no row ever goes.
-KEPT = (LEDGER, BID_FACTS, IMPRESSION_FACTS, CHANGE_LOG, DIGESTS)
+KEPT = (LEDGER, BID_FACTS, IMPRESSION_FACTS, CHANGE_LOG, DIGESTS, PROGRESS)
 
 _COUNTER_DDL = ", ".join(f"{name} BIGINT" for name in COUNTERS)
 _FACT_TAIL = "raw_json STRING, ingested_at TIMESTAMP, seq BIGINT, event_date DATE"
@@ -78,9 +78,12 @@ def _number(path) -> int:
 
 
 class BatchStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """``snapshot_every`` keeps the version of every so many batches for answers as of then."""
+
+    def __init__(self, spark: SparkSession, root: str, snapshot_every: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.snapshot_every = snapshot_every
 
     # ---- writing --------------------------------------------------------
 
@@ -151,6 +154,9 @@ class BatchStore:
             rows = self._numbered(table, before, last)
             if "event_date" in rows.columns:
                 writer = rows.hint("rebalance", "event_date").write.partitionBy("event_date")
+            elif "event_ts" in rows.columns:
+                # sorted by time, so a range opens few files and skips most of their row groups
+                writer = rows.repartitionByRange("event_ts").sortWithinPartitions("event_ts").write
             else:
                 writer = rows.hint("rebalance").write
             writer.mode("overwrite").parquet(f"{self.root}/{MERGED}/{table}/upto={last}")
@@ -199,6 +205,22 @@ class BatchStore:
         """The roll-up: the current version plus the batches after it."""
         return self._minutes_of(self.version())
 
+    def minute_campaign_as_of(self, seq: int) -> DataFrame:
+        """The roll-up after the changes up to and including ``seq``.
+
+        The last version that holds none later, and the ledger's rows behind it: the more versions are kept, the
+        shorter that tail. Versions of an older generation are not used.
+        """
+        progress = self._numbered(PROGRESS, -1, self.last_complete())
+        later = progress.where(F.col("last_seq") > seq).agg(F.min("batch_id")).first()[0]
+        whole = self.last_complete() if later is None else later - 1
+        generation = self.version()[0]
+        base = max((v for v in self.versions() if v[0] == generation and v[1] <= whole), default=(generation, -1))
+        folded = self._version_rows(COMPACTED, base).where(F.col("level") == LEVELS[0]).drop("level")
+        tail = self.read(LEDGER, after=base[1]).where(F.col("seq") <= seq)
+        rows = minute_campaign(tail).unionByName(folded)
+        return rows.groupBy("campaign_id", "minute_ts").agg(*sums()).where(any_count())
+
     def compact(self, horizon: datetime | None = None) -> int:
         """Fold all complete minute batches into a new version, without minutes before ``horizon``.
 
@@ -259,9 +281,9 @@ class BatchStore:
         kept = min(last for _, last in versions[-2:])
         minutes = [n for n in self._committed(MINUTES, "batch_id") if n <= kept]
         self._delete([self._path(MINUTES, n) for n in minutes])
-        self._delete([self._path(PROGRESS, n) for n in self._committed(PROGRESS, "batch_id")[:-1] if n <= kept])
-        self._delete([self._of_version(table, v) for v in versions[:-2] for table in (COMPACTED, EXPIRED)])
-        return len(minutes) + len(versions[:-2])
+        old = [v for v in versions[:-2] if not self.snapshot_every or (v[1] + 1) % self.snapshot_every]
+        self._delete([self._of_version(table, v) for v in old for table in (COMPACTED, EXPIRED)])
+        return len(minutes) + len(old)
 
     def _delete(self, locations: list[str]) -> None:
         for location in locations:

@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet to the shared
 folder and read again as the next stage's docs. All but the last return the columns of documents.
+
+Nulls and edge cases are those of the operators. A null or empty text, having less than 50 words, goes in the first
+stage; very long texts pass whole; repeated rows are one document from the third stage on; an empty table stays empty.
+Other columns, whatever their names, come through all stages but the last, which returns its own.
 """
 
 from __future__ import annotations
