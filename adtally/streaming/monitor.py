@@ -14,7 +14,7 @@ from adtally.session import shared_root
 
 PROGRESS = "query_id STRING, batch_id BIGINT, at TIMESTAMP, input_rows BIGINT, end_offsets STRING, latest_offsets STRING"
 #: Offsets as the Kafka source writes them: {"topic": {"partition": end}}.
-OFFSETS = "map<string, map<int, bigint>>"
+OFFSETS = "map<string, map<string, bigint>>"
 
 
 class ProgressLog(StreamingQueryListener):
@@ -63,9 +63,8 @@ def pending_rows(progress: DataFrame, records: DataFrame) -> DataFrame:
 def vector(offsets: DataFrame, column: str) -> DataFrame:
     """``topic, partition, offset`` of offsets in the Kafka source's notation; the largest of many rows."""
     topics = offsets.select(F.explode(F.from_json(column, OFFSETS)).alias("topic", "ends"))
-    return topics.select("topic", F.explode("ends").alias("partition", "offset")).groupBy("topic", "partition").agg(
-        F.max("offset").alias("offset")
-    )
+    places = topics.select("topic", F.explode("ends").alias("partition", "offset"))
+    return places.groupBy("topic", F.col("partition").cast("int").alias("partition")).agg(F.max("offset").alias("offset"))
 
 
 def ends(records: DataFrame) -> DataFrame:
