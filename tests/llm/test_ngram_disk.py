@@ -1,0 +1,111 @@
+"""What the similarity join leaves on disk and writes on the way, where most documents have near copies."""
+
+import os
+import time
+
+import numpy as np
+import pytest
+
+from adtally.llm import ngram_join
+from adtally.session import shared_root
+from llm_words import words
+from test_ngram_join import family, order, plain_components
+
+
+def near_copies(texts, copies):
+    """Each text several times, with another word at each end."""
+    bodies = [words(100 + i, 80) for i in range(texts)]
+    return [(k * texts + i, f"a{k} {body} b{k}") for k in range(copies) for i, body in enumerate(bodies)]
+
+
+def folders(spark):
+    path = f"{shared_root(spark).removeprefix('file:')}/adtally"
+    return set(os.listdir(path)) if os.path.isdir(path) else set()
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if "/shuffle_" in f}
+
+
+@pytest.fixture
+def tables(monkeypatch):
+    """Rows of the working tables that the join writes, by name."""
+    written, plain = {}, ngram_join.working_table
+
+    def kept(df, name):
+        out = plain(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "working_table", kept)
+    return written
+
+
+def test_leaves_only_what_is_read_later(spark):
+    rows = near_copies(60, 6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before, shuffled = folders(spark), shuffle_files(spark)
+    found = ngram_join.near_duplicates(docs)
+    assert {f.rsplit("-", 1)[0] for f in folders(spark) - before} == {"ngram-rows", "ngram-grouped"}
+    for _ in range(20):  # removed in the background; those of a few counts stay
+        if (left := sum(os.path.getsize(f) for f in shuffle_files(spark) - shuffled if os.path.exists(f))) < 60_000:
+            break
+        time.sleep(0.5)
+    assert left < 60_000 < sum(len(t) for _, t in rows) / 2
+    assert {r.component_id for r in found.collect()} == set(range(60))
+
+
+def test_lists_of_copies_are_few(spark, tables):
+    rows = near_copies(10, 6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert order(ngram_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()) == order(plain_components(rows))
+    assert tables["ngram-lists"] < 3 * len(rows)  # 16 shingles are in each prefix
+
+
+@pytest.mark.parametrize("long", [2, 24])
+def test_rounds(spark, tables, monkeypatch, long):
+    for name, value in {"ROUND_LEAST": 1, "ROUND_SHARE": 0.1, "BLOCK": 8, "SHORT_LIST": long, "LIST_BYTES": 64}.items():
+        monkeypatch.setattr(ngram_join, name, value, raising=False)
+    calls, plain = [], ngram_join._family_links
+    monkeypatch.setattr(ngram_join, "_family_links", lambda *a: calls.append(1) or plain(*a))
+    rows = near_copies(8, 5) + [(2000 + i, t) for i, (_, t) in enumerate(family(30))] + [(None, words(3, 40)), (7, None), (7, "")]
+    rows += [rows[0], rows[0], (None, words(3, 40)), (None, words(3, 40) + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = ngram_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert order(map(tuple, found)) == order(plain_components(rows))
+    assert len(calls) > 3
+
+
+def test_pairs_of_lists(spark):
+    lists = [[(5, 100), (7, 80), (9, 100)], [(5, 100), (9, 100)], [(1, 10), (2, 70)]]
+    rows = [(bytearray(np.array(x, dtype=np.int64).tobytes()), k + 1) for k, x in enumerate(lists)]
+    pairs = ngram_join._pairs(spark.createDataFrame(rows, "list binary, copies long"), 80)
+    assert sorted(map(tuple, pairs.collect())) == [(5, 9, 3, 100, 100), (7, 5, 1, 80, 100), (7, 9, 1, 80, 100)]
+
+
+def test_long_lists_are_skipped_by_size(spark, tables):
+    common = words(5, 12)
+    rows = [(i, f"{words(300 + i, 60 + i % 3)} {common}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = ngram_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert order(map(tuple, found)) == order(plain_components(rows))
+    assert tables["ngram-wanted"] < len(rows) / 2
+
+
+def test_hub_links_join_all_that_may_be_similar():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = np.sort(rng.integers(1, 60, rng.integers(1, 25)))
+        long = rng.integers(1, 1 + np.maximum(1, n - -(-80 * n // 100) + 1))
+        links = list(zip(*(x.tolist() for x in ngram_join._hub_links(np.arange(len(n)), n, long, 80)), strict=True))
+        root = list(range(len(n)))
+        for a, b in links:
+            p, q = root[a], root[b]
+            root = [p if r == q else r for r in root]
+        for x in range(len(n)):
+            for y in range(len(n)):
+                overlap = -(-80 * (n[x] + n[y]) // 180)
+                enough = long[x] >= n[x] - -(-80 * n[x] // 100) + 1 - (n[x] - overlap)
+                if 100 * min(n[x], n[y]) >= 80 * max(n[x], n[y]) and enough:
+                    assert root[x] == root[y]
