@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import WORD, let, own_names, working_table
+from adtally.llm.common import WORD, discard, let, own_names, working_table
 
 #: Words a run has at least.
 MIN_WORDS = 50
@@ -112,7 +112,7 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, version and spans (array of first and last line among the lines with words) to delete."""
+    """doc_id, version and spans (array of first and last line among the lines with words) to delete, a working table."""
     placed = working_table(windows(docs, min_words), "line-windows")
     marks = placed.select("doc_id", "version", F.explode(F.array_distinct(F.transform(
         "windows", lambda w: F.struct(w["fingerprint"].alias("fingerprint"), w["line"].alias("line"))
@@ -138,7 +138,10 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .select("matched", "origin")
     )
     later = candidates.join(earliest, F.col("digest") == F.col("matched")).where(at > F.col("origin"))
-    return later.groupBy("doc_id", "version").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    found = later.groupBy("doc_id", "version").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    out = working_table(found, "line-deletions")
+    discard(placed, candidates)
+    return out
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> DataFrame:
@@ -151,7 +154,7 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> D
 
 
 def _dedup(docs: DataFrame, min_words: int, counts: bool) -> DataFrame:
-    found = working_table(deletions(docs, min_words), "line-deletions").select(
+    found = deletions(docs, min_words).select(
         F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("spans").alias("__spans")
     )
     keyed = docs.select(*docs.columns, F.col("doc_id").cast("long").alias("__doc"), F.xxhash64("text").alias("__text_hash"))

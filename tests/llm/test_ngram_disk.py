@@ -6,7 +6,7 @@ import time
 import numpy as np
 import pytest
 
-from adtally.llm import ngram_join
+from adtally.llm import linedup, ngram_join
 from adtally.session import shared_root
 from llm_words import words
 from test_ngram_join import family, order, plain_components
@@ -56,6 +56,14 @@ def test_leaves_only_what_is_read_later(spark):
     assert {r.component_id for r in found.collect()} == set(range(60))
 
 
+def test_line_dedup_leaves_only_deletions(spark):
+    docs = spark.createDataFrame([(i, f"{words(1, 70)}\n{words(40 + i, 20)}") for i in range(8)], "doc_id long, text string")
+    before = folders(spark)
+    found = linedup.dedup(docs)
+    assert {f.rsplit("-", 1)[0] for f in folders(spark) - before} == {"line-deletions"}
+    assert sorted(r.n_deleted for r in found.collect()) == [0, *[1] * 7]
+
+
 def test_lists_of_copies_are_few(spark, tables):
     rows = near_copies(10, 6)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
